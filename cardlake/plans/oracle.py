@@ -429,6 +429,31 @@ SELECTS = {
 }
 SELECTS["reject_report"] = _reject_sql()
 
+_GOLD_USERS_REST = (
+    "retirement_age, birth_year, birth_month, address, latitude, longitude, per_capita_income, "
+    "yearly_income, total_debt, num_credit_cards, debt_to_income_ratio, customer_segment"
+)
+SELECTS.update({
+    "ingest_csv_users": "SELECT * FROM raw_users",
+    "ingest_csv_cards": "SELECT * FROM raw_cards",
+    "ingest_csv_transactions": "SELECT * FROM raw_transactions",
+    "ingest_silver_transactions": "SELECT * FROM silver_transactions",
+    "ingest_mcc_map": "SELECT mcc, category FROM raw_mcc_codes",
+    "ingest_mcc_json": "SELECT mcc, category FROM raw_mcc_codes WHERE category IS NOT NULL",
+    "ingest_fraud_split": "SELECT CAST(transaction_id AS BIGINT) AS transaction_id, fraud_label FROM raw_fraud_labels",
+    "ingest_fraud_lines": "SELECT CAST(transaction_id AS BIGINT) AS transaction_id, fraud_label FROM raw_fraud_labels",
+    "ingest_fraud_whole": "SELECT CAST(transaction_id AS BIGINT) AS transaction_id, fraud_label FROM raw_fraud_labels",
+    "raw_landing_csv": "SELECT * FROM raw_users",
+    "raw_landing_json": "SELECT CAST(transaction_id AS BIGINT) AS transaction_id, fraud_label FROM raw_fraud_labels",
+    "table_overwrite": "SELECT * FROM silver_users",
+    "table_merge_schema": (
+        "SELECT id, current_age, gender, credit_score, CAST(NULL AS VARCHAR) AS legacy_note, "
+        + _GOLD_USERS_REST + " FROM gold_users"
+    ),
+    "external_table": f"SELECT {UTIL_VIEW} FROM gold_credit_utilization",
+    "serving_view": f"SELECT {UTIL_VIEW} FROM gold_credit_utilization",
+})
+
 
 def oracle_queries() -> dict[str, str]:
     return {name: with_layers(sel) for name, sel in SELECTS.items()}

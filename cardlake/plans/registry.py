@@ -19,6 +19,7 @@ from cardlake.plans import measures as M
 from cardlake.plans import reports as RP
 from cardlake.plans import serving as SV
 from cardlake.plans.layers import Layers
+from cardlake.plans.roundtrip import ROUNDTRIP_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,4 +87,5 @@ def spark_queries() -> dict[str, Query]:
     )
     for name, fn in RP.REPORTS.items():
         q[name] = _report(fn)
+    q.update(ROUNDTRIP_QUERIES)
     return q
