@@ -39,6 +39,12 @@ FRAUD_COLUMNS_B = [
     "debited_amount", "credited_amount", "merchant_city", "merchant_state", "mcc", "category",
     "fraud_label", "is_fraud",
 ]
+TRANSACTIONS_COLUMNS_SUPERSET = [
+    "transaction_id", "client_id", "card_id", "transaction_timestamp", "transaction_date",
+    "transaction_year", "transaction_month", "transaction_month_name", "amount", "transaction_amount",
+    "debited_amount", "credited_amount", "use_chip", "merchant_city", "merchant_state", "zip", "mcc",
+    "category",
+]
 UTILIZATION_COLUMNS = [
     "customer_id", "current_age", "gender", "yearly_income", "total_debt", "credit_score",
     "total_credit_limit", "total_cards", "credit_utilization", "utilization_band",

@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.showConsoleProgress": "false",
+    # keep a bucketed table's layout on scan even without a join above it, so
+    # a projection of a bucketed table writes one file per bucket
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
 }
 
 
