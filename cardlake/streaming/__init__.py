@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source workload is batch only: every layer is a full overwrite, and it
+has no stream source, sink, watermark, windowed aggregation or state. No
+streaming operator is provided here; the batch functions in ``operators`` and
+``plans`` are plain DataFrame functions, so they also apply unchanged to a
+micro-batch (``foreachBatch``) if a caller chooses to feed them that way.
+"""
