@@ -60,7 +60,7 @@ def _write(df: DataFrame, cfg: PipelineConfig, layer: str, table: str, key: str
 
 
 def write_silver(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
-    T.create_schema(spark, cfg.schema)
+    T.create_schema(spark, cfg.schema, f"{cfg.out_dir}/_schema")
     return {t: _write(S.CLEANERS[t](raw[t]), cfg, "silver", t, SILVER_KEYS[t]) for t in S.CLEANERS}
 
 

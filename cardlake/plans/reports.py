@@ -47,7 +47,8 @@ def transactions_by_band(gold: dict[str, DataFrame]) -> DataFrame:
     not customers, like the source chart)."""
     df = fact_measure_by_dim_attribute(
         gold, "credit_utilization", "utilization_band",
-        {"n": F.count("client_id")}, {"transaction_count": F.sum("n").cast("long")},
+        {"n": M.visual_aggregate(M.VISUAL_COUNT_NON_NULL, "client_id")},
+        {"transaction_count": F.sum("n").cast("long")},
     )
     return df.orderBy(F.desc("transaction_count"), "utilization_band")
 
@@ -55,7 +56,8 @@ def transactions_by_band(gold: dict[str, DataFrame]) -> DataFrame:
 def transactions_by_segment(gold: dict[str, DataFrame]) -> DataFrame:
     df = fact_measure_by_dim_attribute(
         gold, "users", "customer_segment",
-        {"n": F.count("client_id")}, {"transaction_count": F.sum("n").cast("long")},
+        {"n": M.visual_aggregate(M.VISUAL_COUNT_NON_NULL, "client_id")},
+        {"transaction_count": F.sum("n").cast("long")},
     )
     return df.orderBy(F.desc("transaction_count"), "customer_segment")
 
@@ -83,7 +85,9 @@ def scored_customers_by_segment(gold: dict[str, DataFrame]) -> DataFrame:
     u = gold["users"].select("id", "customer_segment")
     c = gold["credit_utilization"].select("customer_id", "credit_score")
     j = u.join(c, u.id == c.customer_id, "left")
-    return j.groupBy("customer_segment").agg(F.count("credit_score").alias("scored_customers")).orderBy(
+    return j.groupBy("customer_segment").agg(
+        M.visual_aggregate(M.VISUAL_COUNT_NON_NULL, "credit_score").alias("scored_customers")
+    ).orderBy(
         F.desc("scored_customers"), "customer_segment"
     )
 
@@ -117,7 +121,7 @@ def labelled_by_state_category(gold: dict[str, DataFrame]) -> DataFrame:
     transactions, fraud or not, like the source chart."""
     f = gold["fraud_monitoring"].filter(F.col("merchant_state").isNotNull())
     return f.groupBy("merchant_state", "category").agg(
-        F.count("is_fraud").alias("labelled_transactions")
+        M.visual_aggregate(M.VISUAL_COUNT_NON_NULL, "is_fraud").alias("labelled_transactions")
     ).orderBy(F.desc("labelled_transactions"), "merchant_state", "category")
 
 

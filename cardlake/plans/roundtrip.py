@@ -80,6 +80,10 @@ def raw_landing_json(spark: SparkSession, d: str) -> DataFrame:
     return FS.bronze_fraud_labels_by_line(spark, dst)
 
 
+def _scratch_schema(spark: SparkSession) -> None:
+    T.create_schema(spark, SCRATCH_SCHEMA, scratch_path(spark, "schema"))
+
+
 def _table_name(label: str) -> str:
     return f"{SCRATCH_SCHEMA}.{label}_{uuid.uuid4().hex[:10]}"
 
@@ -88,7 +92,7 @@ def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """Write gold users, then overwrite the same table with silver users:
     rows and schema are replaced."""
     L = Layers.from_driver_tables(spark, d)
-    T.create_schema(spark, SCRATCH_SCHEMA)
+    _scratch_schema(spark)
     name, path = _table_name("users"), scratch_path(spark, "table_users")
     T.overwrite_table(L.gold("users"), name, path)
     T.overwrite_table(L.silver("users"), name, path + "_v2")
@@ -99,7 +103,7 @@ def table_merge_schema(spark: SparkSession, d: str) -> DataFrame:
     """An older table version with a column the new frame lacks, overwritten
     with schema merge: old columns kept (NULL), new ones appended."""
     L = Layers.from_driver_tables(spark, d)
-    T.create_schema(spark, SCRATCH_SCHEMA)
+    _scratch_schema(spark)
     name = _table_name("gold_users")
     old = L.silver("users").select("id", "current_age", "gender", "credit_score").withColumn(
         "legacy_note", F.lit("v1")
@@ -120,7 +124,7 @@ def _external_utilization(spark: SparkSession, d: str) -> str:
     L = Layers.from_driver_tables(spark, d)
     folder = scratch_path(spark, "credit_utilization")
     SV.credit_utilization_view(L.gold("credit_utilization")).write.mode("overwrite").parquet(folder)
-    T.create_schema(spark, SCRATCH_SCHEMA)
+    _scratch_schema(spark)
     return T.external_table(spark, _table_name("ext_credit_utilization"), UTILIZATION_DDL, folder)
 
 

@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def create_schema(spark: SparkSession, name: str, use: bool = False) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None, use: bool = False) -> None:
+    """Idempotent namespace set-up; ``location`` keeps the schema folder in
+    shared storage instead of the session's default warehouse folder."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
     if use:
         spark.catalog.setCurrentDatabase(name)
 
