@@ -23,6 +23,8 @@ its own folder, so re-running a stage is idempotent.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,7 @@ class PipelineConfig:
     out_dir: str               # shared folder that holds the table files
     schema: str = "cardlake"   # catalog schema for the table names
     buckets: int | None = None  # hash buckets of uniquely keyed tables (default: shuffle partitions)
+    concurrent_writes: int = 4  # independent table writes of one layer submitted as concurrent jobs
 
 
 def _name(cfg: PipelineConfig, layer: str, table: str) -> str:
@@ -59,9 +62,23 @@ def _write(df: DataFrame, cfg: PipelineConfig, layer: str, table: str, key: str
     return name
 
 
+def _run_all(jobs: dict[str, Callable[[], str]], cfg: PipelineConfig) -> dict[str, str]:
+    """Independent writes of one layer as concurrent Spark jobs (small stages of
+    one table fill task slots left idle by another); order of results is fixed."""
+    if cfg.concurrent_writes <= 1:
+        return {k: job() for k, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=cfg.concurrent_writes) as pool:
+        futures = {k: pool.submit(job) for k, job in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def write_silver(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
     T.create_schema(spark, cfg.schema, f"{cfg.out_dir}/_schema")
-    return {t: _write(S.CLEANERS[t](raw[t]), cfg, "silver", t, SILVER_KEYS[t]) for t in S.CLEANERS}
+    jobs = {
+        t: (lambda t=t: _write(S.CLEANERS[t](raw[t]), cfg, "silver", t, SILVER_KEYS[t]))
+        for t in S.CLEANERS
+    }
+    return _run_all(jobs, cfg)
 
 
 def read_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
@@ -70,17 +87,17 @@ def read_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFra
 
 def write_gold(spark: SparkSession, silver_names: dict[str, str], cfg: PipelineConfig) -> dict[str, str]:
     silver = read_tables(spark, silver_names)
-    names = {
-        "users": _write(G.gold_users(silver["users"]), cfg, "gold", "users", GOLD_KEYS["users"]),
-        "credit_utilization": _write(
+    names = _run_all({
+        "users": lambda: _write(G.gold_users(silver["users"]), cfg, "gold", "users", GOLD_KEYS["users"]),
+        "credit_utilization": lambda: _write(
             G.gold_credit_utilization(silver["users"], silver["cards"]), cfg, "gold", "credit_utilization",
             GOLD_KEYS["credit_utilization"],
         ),
-        "fraud_monitoring": _write(
+        "fraud_monitoring": lambda: _write(
             G.gold_fraud_monitoring(silver["transactions"], silver["fraud_labels"], silver["mcc_codes"]),
             cfg, "gold", "fraud_monitoring", GOLD_KEYS["fraud_monitoring"],
         ),
-    }
+    }, cfg)
     txn = _name(cfg, "gold", "transactions")
     cols = ", ".join(G.TRANSACTIONS_COLUMNS_SUPERSET)
     T.create_view(spark, txn, f"SELECT {cols} FROM {names['fraud_monitoring']}", replace=True)
