@@ -8,8 +8,6 @@ object. Writers: the same shapes from DataFrames, all distributed.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -143,24 +141,42 @@ def write_json_object(df: DataFrame, key: str, value: str, path: str, max_keys:
     return path
 
 
+def _chunk_objects(entries_per_object: int, head: str, sep: str, tail: str):
+    """Per-partition builder: consecutive entries of one task's rows, at most
+    ``entries_per_object`` per object (Arrow batches in, one row per object out)."""
+
+    def build(batches):
+        import pandas as pd
+
+        buf: list[str] = []
+        for pdf in batches:
+            for e in pdf["e"].tolist():
+                buf.append(e)
+                if len(buf) == entries_per_object:
+                    yield pd.DataFrame({"value": [head + sep.join(buf) + tail]})
+                    buf = []
+        if buf:
+            yield pd.DataFrame({"value": [head + sep.join(buf) + tail]})
+
+    return build
+
+
 def write_label_objects(df: DataFrame, key: str, value: str, path: str, entries_per_object: int = 200_000,
                         pretty: bool = False) -> str:
-    """Write (key, value) rows as ``{"target": {"k": "v", ...}}`` objects.
-
-    Rows are hashed into ``ceil(rows / entries_per_object)`` buckets; each
-    bucket becomes one object in its own file (one sub-folder per bucket),
-    so no task holds more than a bounded object. ``pretty`` lays each object
-    out over many lines, as an editor would."""
-    rows = df.count()
-    buckets = max(1, math.ceil(rows / entries_per_object))
+    """Write (key, value) rows as ``{"target": {"k": "v", ...}}`` objects, one
+    object per file.
+
+    Each write task packs its own partition's rows into objects of at most
+    ``entries_per_object`` entries: no shuffle and no grouping by key, so no
+    object or task grows with a hot key, and a retried task rewrites exactly
+    its own files. ``pretty`` lays each object out over many lines, as an
+    editor would."""
     entry = F.concat(F.lit('"'), F.col(key).cast("string"), F.lit('": "'), F.col(value).cast("string"), F.lit('"'))
     sep, head, tail = (",\n    ", '{\n  "target": {\n    ', "\n  }\n}") if pretty else (", ", '{"target": {', "}}")
-    objects = (
-        df.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket"), entry.alias("e"))
-        .groupBy("bucket")
-        .agg(F.concat(F.lit(head), F.concat_ws(sep, F.collect_list("e")), F.lit(tail)).alias("value"))
+    objects = df.select(entry.alias("e")).mapInPandas(
+        _chunk_objects(entries_per_object, head, sep, tail), "value string"
     )
-    objects.repartition("bucket").write.mode("overwrite").partitionBy("bucket").text(path)
+    objects.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
