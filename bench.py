@@ -14,6 +14,7 @@ import statistics
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -33,7 +34,8 @@ def run_noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    local_ckpt = tempfile.mkdtemp(prefix="cardlake-bench-", dir="/tmp")
+    # used only if the session names no checkpoint folder (local runs)
+    local_ckpt = f"{tempfile.gettempdir()}/cardlake-bench-{uuid.uuid4().hex[:12]}"
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, checkpoint_dir=local_ckpt,
                           extra={"spark.driver.memory": "16g"})
     out_dir = scratch_path(spark, "bench")

@@ -60,7 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # sessions without a SparkContext handle (Spark Connect)
+            base = None
     if not base:
         base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_cardlake_scratch")
     return f"{base.rstrip('/')}/cardlake/{label}-{uuid.uuid4().hex[:12]}"

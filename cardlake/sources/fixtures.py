@@ -27,8 +27,12 @@ def spread_thin_input(df: DataFrame) -> DataFrame:
     single Parquet row group) would run every per-row step up to the first
     shuffle in that many tasks. Spread it round-robin over the default
     parallelism; a large input (many splits) is left untouched."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _money_text(x: Column) -> Column:
