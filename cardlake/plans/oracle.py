@@ -224,8 +224,11 @@ LAYERS = [
 ]
 
 
-def with_layers(select: str) -> str:
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in LAYERS)
+def with_layers(select: str, overrides: dict[str, str] | None = None) -> str:
+    """``WITH`` all layers, then ``select``; ``overrides`` replaces a layer's SQL
+    (tests use it to feed skewed raw data through the same definitions)."""
+    o = overrides or {}
+    ctes = ",\n".join(f"{name} AS ({o.get(name, sql)})" for name, sql in LAYERS)
     return f"WITH {ctes}\n{select}"
 
 
@@ -455,5 +458,5 @@ SELECTS.update({
 })
 
 
-def oracle_queries() -> dict[str, str]:
-    return {name: with_layers(sel) for name, sel in SELECTS.items()}
+def oracle_queries(overrides: dict[str, str] | None = None) -> dict[str, str]:
+    return {name: with_layers(sel, overrides) for name, sel in SELECTS.items()}
