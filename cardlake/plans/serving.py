@@ -60,6 +60,12 @@ def register_views(spark: SparkSession, gold: dict[str, DataFrame]) -> list[str]
     return list(VIEWS)
 
 
+def ad_hoc(spark: SparkSession, view: str, limit: int = AD_HOC_RESULT_LIMIT) -> DataFrame:
+    """``SELECT *`` over a serving view with the ad-hoc result limit (the
+    limit is the feature here: an interactive preview, not a full read)."""
+    return spark.table(view).limit(limit)
+
+
 def preview(df: DataFrame, n: int = 10, order_by: str | None = None) -> DataFrame:
     """First ``n`` rows; with ``order_by`` a deterministic top-n (a per-task
     top-n then one merge, never a full sort)."""
