@@ -1,6 +1,7 @@
 """Benchmark: the batch pipeline and every report query at one scale factor.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG=1 to write Spark's event log next to the scratch folder.
 Prints one JSON line. After a warm-up on the smallest tables: raw->silver
 (five tables written) and silver->gold (gold tables written), median of 3
 runs each into a fresh folder; then each report query over the persisted
@@ -37,8 +38,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     # used only if the session names no checkpoint folder (local runs)
     local_ckpt = f"{tempfile.gettempdir()}/cardlake-bench-{uuid.uuid4().hex[:12]}"
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the web UI
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"{local_ckpt}-events"})
+        os.makedirs(f"{local_ckpt}-events", exist_ok=True)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, checkpoint_dir=local_ckpt,
-                          extra={"spark.driver.memory": "16g"})
+                          extra=extra)
     out_dir = scratch_path(spark, "bench")
     cfg = PL.PipelineConfig(out_dir=out_dir, schema="cardlake_bench", buckets=cpus * 2)
     timings: dict[str, float] = {}

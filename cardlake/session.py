@@ -44,6 +44,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def sizing(largest_shuffle_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+           split_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves ``largest_shuffle_bytes``
+    (the de-duplicated transactions): enough shuffle partitions that each holds
+    about ``target_partition_bytes``, AQE aiming at the same size when it
+    coalesces, and input splits of ``split_bytes``. Use the returned shuffle
+    partition count as the pipeline's bucket count too (its default), so the
+    de-duplication shuffle lays out the buckets.
+
+    Example: 40 TB of transactions -> 163,840 partitions of 256 MB."""
+    parts = max(1, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the session's checkpoint folder; set ``fallback`` only if none is set."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
