@@ -72,6 +72,12 @@ def _run_all(jobs: dict[str, Callable[[], str]], cfg: PipelineConfig) -> dict[st
         return {k: f.result() for k, f in futures.items()}
 
 
+def write_bronze(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
+    """Persist the raw frames as read (bronze), one table per source."""
+    T.create_schema(spark, cfg.schema, f"{cfg.out_dir}/_schema")
+    return _run_all({t: (lambda t=t: _write(raw[t], cfg, "bronze", t, None)) for t in raw}, cfg)
+
+
 def write_silver(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
     T.create_schema(spark, cfg.schema, f"{cfg.out_dir}/_schema")
     jobs = {
@@ -105,8 +111,13 @@ def write_gold(spark: SparkSession, silver_names: dict[str, str], cfg: PipelineC
     return names
 
 
-def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """Raw frames in, persisted gold tables out (as DataFrames), serving views registered."""
+def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig,
+        with_bronze: bool = False) -> dict[str, DataFrame]:
+    """Raw frames in, persisted gold tables out (as DataFrames), serving views
+    registered. ``with_bronze`` first persists the raw frames as bronze tables
+    and cleans from those."""
+    if with_bronze:
+        raw = read_tables(spark, write_bronze(spark, raw, cfg))
     silver_names = write_silver(spark, raw, cfg)
     gold_names = write_gold(spark, silver_names, cfg)
     gold = read_tables(spark, gold_names)

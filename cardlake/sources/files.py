@@ -192,3 +192,37 @@ def land_text(spark: SparkSession, src: str, dst: str, glob: str = "*.json") ->
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(src)
     df.write.mode("overwrite").text(dst)
     return dst
+
+
+# --- one raw folder in, raw frames out --------------------------------------------
+
+# Fixed layout: one sub-folder per source under a single raw folder.
+RAW_SOURCES = ("users", "cards", "transactions", "mcc_codes", "fraud_labels")
+
+
+def write_raw_dir(raw: dict[str, DataFrame], raw_dir: str, pretty_labels: bool = True) -> str:
+    """Land raw frames in their source shapes: header CSV for users, cards and
+    transactions; one JSON object for the code list; bounded label objects."""
+    for name in ("users", "cards", "transactions"):
+        write_csv(raw[name], f"{raw_dir}/{name}")
+    write_json_object(raw["mcc_codes"], "mcc", "category", f"{raw_dir}/mcc_codes")
+    write_label_objects(raw["fraud_labels"], "transaction_id", "fraud_label", f"{raw_dir}/fraud_labels",
+                        pretty=pretty_labels)
+    return raw_dir
+
+
+def read_raw_dir(spark: SparkSession, raw_dir: str, fraud_reader: str = "split") -> dict[str, DataFrame]:
+    """Raw frames from one raw folder (declared CSV schemas, map-form code
+    list, splittable label reader by default)."""
+    from cardlake.schemas import RAW_CSV_SCHEMAS
+
+    readers = {
+        "split": bronze_fraud_labels_split,
+        "lines": bronze_fraud_labels_by_line,
+        "whole": bronze_fraud_labels_whole,
+    }
+    frames = {name: read_csv(spark, f"{raw_dir}/{name}", RAW_CSV_SCHEMAS[name]) for name in
+              ("users", "cards", "transactions")}
+    frames["mcc_codes"] = bronze_mcc_codes(spark, f"{raw_dir}/mcc_codes", keep_nulls=True)
+    frames["fraud_labels"] = readers[fraud_reader](spark, f"{raw_dir}/fraud_labels")
+    return frames
