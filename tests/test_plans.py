@@ -61,3 +61,20 @@ def test_gold_fraud_join_on_bucketed_silver_has_no_exchange(spark):
     assert "SortMergeJoin" in p
     assert "Exchange hashpartitioning" not in p   # both sides read co-located buckets
     assert "BroadcastHashJoin" in p               # the merchant-code list stays broadcast
+
+
+def test_gold_fraud_files_are_clustered_for_row_group_skipping(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from cardlake.session import scratch_path
+
+    cfg = PL.PipelineConfig(out_dir=scratch_path(spark, "cluster-test"), schema="cardlake_cluster_test")
+    PL.run(spark, fixtures.raw_frames(spark, SF), cfg)
+    files = glob.glob(f"{cfg.out_dir}/gold/fraud_monitoring/*.parquet")
+    assert files
+    for f in files:
+        flags = pq.read_table(f, columns=["is_fraud"]).column(0).to_pylist()
+        keyed = [(-1 if v is None else v) for v in flags]   # NULLs sort first
+        assert keyed == sorted(keyed), f
