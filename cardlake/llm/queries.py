@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardlake.llm.bpe_trie import bpe_digests
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.repetition import repetition_rules
+from cardlake.llm.substring_dedup import substring_dedup
 from cardlake.llm.tables import table
 from cardlake.llm.topk_nra import top_k
 
@@ -38,12 +39,16 @@ def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), output="sha256")
+
+
 def op5_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op5_bpe_trie]
+    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie]
     return {f.__name__: f for f in found}
 
 

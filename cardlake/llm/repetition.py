@@ -30,7 +30,7 @@ MAX_REPEAT_PERCENT = 50
 # Most characters inside duplicated n-grams that a kept text may have, by n.
 MAX_NGRAM_SHARE = {5: 0.40, 6: 0.38, 7: 0.36, 8: 0.34, 9: 0.32, 10: 0.30}
 MAX_LINE_SHARE = 0.30
-MAX_SYMBOLS_PER_WORD = 0.5
+MAX_SYMBOLS_PER_WORD = 0.1
 SYMBOLS = b"#*$%&|<>"
 
 _B = np.uint64(0xD6E8FEB86659FD93)

@@ -83,3 +83,21 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
         h *= _WINDOW_BASE
         h += words[j: j + m]
     return mix(h)
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted unsigned 32-bit values as byte planes of their gaps: the high planes are nearly
+    all zero, which the shuffle's compression removes."""
+    gaps = np.diff(values.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    gaps = np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    return np.cumsum(gaps, dtype=np.uint32)
