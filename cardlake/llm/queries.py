@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_trie import bpe_digests
+from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.repetition import repetition_rules
 from cardlake.llm.substring_dedup import substring_dedup
@@ -47,8 +48,12 @@ def op5_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie]
+    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op10_jaccard_tiles]
     return {f.__name__: f for f in found}
 
 
