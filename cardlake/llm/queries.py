@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_trie import bpe_digests
+from cardlake.llm.budget_mix import NULL_NAME, mix
 from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.repetition import repetition_rules
+from cardlake.llm.secret_index import secret_scan
 from cardlake.llm.substring_dedup import substring_dedup
 from cardlake.llm.tables import table
 from cardlake.llm.topk_nra import top_k
@@ -48,12 +50,37 @@ def op5_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+#: The documents carry no domain: sources are dealt to four by the number that ends their name.
+MIX_DOMAINS = 4
+MIX_SHARE = 0.6
+MIX_EPOCHS = 2
+MIX_SEED = 42
+MIX_WEIGHTS = {"d0": 3.0, "d1": 2.0, "d0/en": 2.0, "d1/de": 2.0}
+
+
+def source_domain(source: str = "source") -> Column:
+    number = F.regexp_extract(F.col(source), "([0-9]{1,9})$", 1)
+    return F.when(number != "", F.concat(F.lit("d"), (number.cast("long") % MIX_DOMAINS).cast("string"))).otherwise("d-")
+
+
+def op9_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    chosen = mix(docs, source_domain(), MIX_SHARE, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED)
+    return chosen.select(F.col("doc.doc_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "budget",
+                         "epoch", "order_key")
+
+
 def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op10_jaccard_tiles]
+    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op7_secret_index,
+             op9_budget_mix, op10_jaccard_tiles]
     return {f.__name__: f for f in found}
 
 
@@ -76,5 +103,67 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+def _weights_sql(path: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in sorted(MIX_WEIGHTS.items()))
+    return f"CASE {path} {whens} ELSE CAST(1 AS DOUBLE) END"
+
+
+def _share_sql(name: str, keys: list[str], parents: str | None) -> str:
+    """One level of the tree: children in ascending order of capacity per weight."""
+    above = ", ".join(keys[:-1])
+    part = f"PARTITION BY {above}" if above else ""
+    path = " || '/' || ".join(keys)
+    rising = f"{part} ORDER BY capacity / weight, {', '.join(keys)}"
+    given = (f"JOIN {parents} p USING ({above})" if parents else "CROSS JOIN total p")
+    return f"""{name}0 AS (
+  SELECT *, {_weights_sql(path)} AS weight FROM (
+    SELECT {', '.join(keys)}, CAST(sum(capacity) AS BIGINT) AS capacity FROM leaves GROUP BY {', '.join(keys)})
+), {name}1 AS (
+  SELECT c.*, p.budget AS given FROM {name}0 c {given} WHERE weight > 0
+), {name}2 AS (
+  SELECT *, capacity * sum(weight) OVER ({rising} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= weight * (given - coalesce(sum(capacity) OVER ({rising} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    AS is_full FROM {name}1
+), {name} AS (
+  SELECT {', '.join(keys)}, CASE WHEN is_full THEN capacity ELSE CAST(floor(weight
+    * (given - coalesce(sum(CASE WHEN is_full THEN capacity END) OVER ({part}), 0))
+    / sum(CASE WHEN NOT is_full THEN weight END) OVER ({part})) AS BIGINT) END AS budget FROM {name}2
+)"""
+
+
+_TREE = ["domain", "lang", "source"]
+OP9_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9]{{1,9}})$', 1) <> ''
+      THEN 'd' || CAST(CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS BIGINT) % {MIX_DOMAINS} AS VARCHAR)
+      ELSE 'd-' END AS domain,
+    coalesce(lang, '{NULL_NAME}') AS lang, coalesce(source, '{NULL_NAME}') AS source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+    coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS row_name
+  FROM documents
+), sized AS (SELECT * FROM docs WHERE n_tokens > 0
+), leaves AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens,
+         CAST(sum(n_tokens) * {MIX_EPOCHS} AS BIGINT) AS capacity
+  FROM sized GROUP BY domain, lang, source
+), total AS (SELECT CAST(floor(CAST(sum(tokens) AS DOUBLE) * {MIX_SHARE}) AS BIGINT) AS budget FROM leaves
+), {_share_sql("lvl_a", _TREE[:1], None)}, {_share_sql("lvl_b", _TREE[:2], "lvl_a")},
+{_share_sql("lvl_c", _TREE, "lvl_b")},
+cut AS (
+  SELECT l.*, c.budget, c.budget // l.tokens AS whole, c.budget % l.tokens AS rest
+  FROM leaves l JOIN lvl_c c USING (domain, lang, source)
+), keyed AS (
+  SELECT s.*, c.budget, c.whole, c.rest,
+         md5('{MIX_SEED}:' || CAST(c.whole AS VARCHAR) || ':' || s.row_name) AS order_key
+  FROM sized s JOIN cut c USING (domain, lang, source)
+), placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY order_key RANGE UNBOUNDED PRECEDING) AS upto
+  FROM keyed
+)
+SELECT doc_id, domain, lang, source, n_tokens, budget, epoch, order_key
+FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS e(epoch)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL}
+    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL}
