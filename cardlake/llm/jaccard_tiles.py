@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlake.llm.components import components
@@ -51,8 +51,8 @@ _LOCALLY_COMMON = 4
 _FLUSH = 2_000_000
 
 _SETS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                   ("bitmap", pa.binary())])
-_SETS_DDL = "kind int, doc_id long, n long, digest binary, bitmap binary"
+                   ("bitmap", pa.binary()), ("text_key", pa.int64())])
+_SETS_DDL = "kind int, doc_id long, n long, digest binary, bitmap binary, text_key long"
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -172,17 +172,18 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
             edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, dtype=np.int64)
             count = np.diff(np.r_[edge, len(x)])
             hit = count >= _LOCALLY_COMMON
-            return [(1, s, c, None, None) for s, c in zip(x[edge][hit].view(np.int64).tolist(), count[hit].tolist())]
+            return [(1, s, c, None, None, None) for s, c in zip(x[edge][hit].view(np.int64).tolist(), count[hit].tolist())]
 
         for b in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc_id, text, text_key in zip(*(b.column(c).to_pylist() for c in range(3))):
                 h = shingles(text, size)
                 if not len(h):
-                    rows.append((0, doc_id, 0, None, None))
+                    rows.append((0, doc_id, 0, None, None, text_key))
                     continue
                 key = digest(h)
-                rows.append((0, doc_id, len(h), key, bitmap(h, bitmap_width(len(h))).tobytes()))
+                rows.append((0, doc_id, len(h), key, bitmap(h, bitmap_width(len(h))).tobytes(),
+                             text_key))
                 if key not in held:
                     held[key] = h
                     n_held += len(h)
@@ -377,12 +378,14 @@ def verified(docs: DataFrame, groups: DataFrame, classes: DataFrame, size: int,
 
 def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, block: int = BLOCK,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links, n_copies`` for every input row. ``n_links`` counts
-    linked documents, copies included; ``n_copies`` the documents with the same set, itself included."""
+    """``doc_id, n_shingles, component_id, n_links, n_copies, group_key, text_key`` for every input row.
+    ``n_links`` counts linked documents, copies included; ``n_copies`` the documents with the same set,
+    itself included; ``group_key`` names the group also where ids repeat (null: linked with nothing for
+    want of words or of an id); ``text_key`` is a hash of the text."""
     spark = docs.sparkSession
     python_tasks(spark)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(set_rows(named, size), "shingle-sets")
+    rows = written(set_rows(named.withColumn("text_key", F.xxhash64("text")), size), "shingle-sets")
     common = [r[0] for r in rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(
         F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "doc_id").limit(COMMON_SHINGLES).collect()]
     sets = rows.where("kind = 0").drop("kind")
@@ -400,17 +403,40 @@ def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, blo
     named_groups = joined.join(classes.select("digest", "rep"), joined.node == F.col("digest")).select(
         "component", "digest", "rep")
     smallest = named_groups.groupBy("component").agg(F.min("rep").alias("low"))
-    linked_classes = named_groups.join(smallest, "component").select("digest", "low")
+    linked_classes = named_groups.join(smallest, "component").select("digest", "low", "component")
 
     known = classes.select("digest", "rep", "copies").join(linked_classes, "digest", "left").join(
         per_class, "digest", "left").select(
-        F.col("digest").alias("key"), F.coalesce("low", "rep").alias("component"), "copies",
+        F.col("digest").alias("key"), F.coalesce("low", "rep").alias("component_id"), "copies",
+        F.coalesce("component", "digest").alias("group_key"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     has_class = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    out = sets.select("doc_id", "n", "digest").where(has_class).join(known, F.col("digest") == F.col("key")).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "n_links",
-        F.col("copies").alias("n_copies"))
+    out = sets.select("doc_id", "n", "digest", "text_key").where(has_class).join(known, F.col("digest") == F.col("key")).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", F.col("copies").alias("n_copies"),
+        "group_key", "text_key")
     alone = sets.where(~has_class).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
+        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"),
+        F.lit(None).cast("binary").alias("group_key"), "text_key")
     return out.unionByName(alone)
+
+
+def keep_one_per_group(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with one document of each group of linked ones: the
+    smallest id (of equal ids and different texts, one text). Rows without words or id all stay."""
+    found = jaccard_join(docs, size, percent, id_col=id_col, text_col=text_col)
+    found = written(found.select("doc_id", "component_id", "group_key", "text_key"), "groups")
+    first = found.where("group_key IS NOT NULL AND doc_id = component_id").groupBy("group_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("k"), F.count("*").alias("n")).select("k.*", "n")
+    stay = found.where("group_key IS NULL").select("doc_id", "text_key").distinct().withColumn(
+        "n", F.lit(1).cast("long")).unionByName(first)
+    stay = stay.select(F.col("doc_id").alias("_stay_id"), F.col("text_key").alias("_stay_key"), F.col("n").alias("_n"))
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_id"),
+                       F.xxhash64(F.col(text_col)).alias("_key"))
+    kept = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_key") == F.col("_stay_key")))
+    # a row that occurs several times stays once; only such rows are ranked
+    once = kept.where("_n = 1")
+    again = kept.where("_n > 1").withColumn(
+        "_row", F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0)))).where("_row = 1")
+    return once.select("_doc.*").unionByName(again.select("_doc.*"))

@@ -11,11 +11,13 @@ from cardlake.llm.bpe_trie import bpe_digests
 from cardlake.llm.budget_mix import NULL_NAME, mix
 from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
+from cardlake.llm.quote_threads import link_quotations
 from cardlake.llm.repetition import repetition_rules
 from cardlake.llm.secret_index import secret_scan
 from cardlake.llm.substring_dedup import substring_dedup
 from cardlake.llm.tables import table
 from cardlake.llm.topk_nra import top_k
+from cardlake.llm.weak_labels import quality_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +52,18 @@ def op5_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op7_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"))
+
+
 #: The documents carry no domain: sources are dealt to four by the number that ends their name.
 MIX_DOMAINS = 4
 MIX_SHARE = 0.6
@@ -79,7 +89,8 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op7_secret_index,
+    found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op6_quote_threads,
+             op7_secret_index, op8_weak_labels,
              op9_budget_mix, op10_jaccard_tiles]
     return {f.__name__: f for f in found}
 
