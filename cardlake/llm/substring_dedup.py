@@ -38,7 +38,9 @@ from cardlake.llm.tables import parallelism, python_tasks
 from cardlake.llm.words import distinct, pack_sorted, unpack_sorted, utf8, window_hashes, word_hashes, word_spans
 
 WINDOW = 13
-CHUNKS_PER_PARTITION = 4
+#: Parts that move are chunks times buckets, so their product stays at the square of the partitions.
+CHUNKS_PER_PARTITION = 2
+PARTITIONS_PER_BUCKET = 2
 _SECOND_ROW = np.uint32(0x9E3779B1)
 
 _MASK_DDL = "kind int, chunk long, bucket long, mask binary"
@@ -195,7 +197,7 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, output: str = "text",
     spark = docs.sparkSession
     python_tasks(spark)
     partitions = parallelism(spark)
-    chunks, buckets = CHUNKS_PER_PARTITION * partitions, partitions
+    chunks, buckets = CHUNKS_PER_PARTITION * partitions, max(1, partitions // PARTITIONS_PER_BUCKET)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = named.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).repartition(
         partitions, "chunk")
