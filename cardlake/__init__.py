@@ -5,4 +5,4 @@ Every stage is a pure ``DataFrame -> DataFrame`` function built from Spark's
 built-in expressions, so Catalyst sees one declarative plan per action.
 """
 
-__all__ = ["functions", "sources", "operators", "plans", "streaming"]
+__all__ = ["functions", "sources", "operators", "plans"]

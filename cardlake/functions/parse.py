@@ -6,7 +6,7 @@ failing the job, and the reject report (``operators.quality``) counts such rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 # Raw formats of the source files.
 MONEY_STRIP_PATTERN = "[$,]"
 MONTH_YEAR_PATTERN = "MM/yyyy"
-TRANSACTION_TIME_PATTERNS = ("MM-dd-yyyy HH:mm",)
+SOURCE_TIME = r"^(\d{2})-(\d{2})-(\d{4}) (\d{2}:\d{2})$"  # MM-dd-yyyy HH:mm
+SOURCE_TIME_TO_ISO = "$3-$1-$2 $4:00"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"
 YES_TEXT = "YES"
 NO_TEXT = "NO"
 MONTH_NAME_PATTERN = "MMMM"
+LARGEST_DOUBLE = sys.float_info.max
 
 
 def _col(c: str | Column) -> Column:
@@ -25,8 +28,9 @@ def _col(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """``$1,234.56`` -> 1234.56 (double); empty or non-numeric text -> NULL."""
-    return F.regexp_replace(_col(c).cast("string"), MONEY_STRIP_PATTERN, "").try_cast("double")
+    """``$1,234.56`` -> 1234.56 (double); empty, non-numeric or non-finite text -> NULL."""
+    value = F.regexp_replace(_col(c).cast("string"), MONEY_STRIP_PATTERN, "").try_cast("double")
+    return F.when(value.between(-LARGEST_DOUBLE, LARGEST_DOUBLE), value)
 
 
 def to_long(c: str | Column) -> Column:
@@ -48,19 +52,13 @@ def yes_no(c: str | Column) -> Column:
     return F.when(norm == YES_TEXT, F.lit(True)).when(norm == NO_TEXT, F.lit(False))
 
 
-def parse_timestamp(c: str | Column, patterns: Sequence[str] = TRANSACTION_TIME_PATTERNS) -> Column:
-    """Text -> TIMESTAMP_NTZ, first pattern that parses wins, NULL if none does.
+def parse_timestamp(c: str | Column) -> Column:
+    """Text or timestamp -> TIMESTAMP_NTZ; NULL if it is neither the source's layout nor ISO.
 
-    ``try_to_timestamp`` is the NULL-safe validity test; the value itself comes
-    from ``to_timestamp_ntz`` so the result never depends on the session time
-    zone. The CASE guard keeps ``to_timestamp_ntz`` away from bad text under ANSI.
-    """
-    text = _col(c).cast("string")
-    parsed = [
-        F.when(F.try_to_timestamp(text, F.lit(p)).isNotNull(), F.to_timestamp_ntz(text, F.lit(p)))
-        for p in patterns
-    ]
-    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+    The source's ``MM-dd-yyyy HH:mm`` is first laid out as ISO; ISO text and timestamp columns
+    (as a reader with type inference gives) already are. One zone-free, ANSI-safe cast reads both."""
+    iso = F.regexp_replace(_col(c).cast("string"), SOURCE_TIME, SOURCE_TIME_TO_ISO)
+    return F.when(iso.rlike(ISO_TIME), iso.try_cast("timestamp_ntz"))
 
 
 def calendar_parts(ts: str | Column, prefix: str = "transaction_") -> dict[str, Column]:

@@ -128,7 +128,7 @@ def age_band(age: str | Column = "current_age", edges: tuple[int, ...] = DEFAULT
 
 
 def money_sum(c: str | Column) -> Column:
-    """Order-independent sum of cent-precision money: summed as integer cents
-    (exact, stays in whole-stage codegen) and scaled back to double. The result
-    is the same on every partitioning, unlike a plain floating-point sum."""
-    return F.sum(F.round(_col(c) * 100).cast("long")) / F.lit(100)
+    """Order-independent exact sum: values are added as decimals with ten places (sub-cent
+    values count in full) and the total becomes a double once. The result is the same on every
+    partitioning, unlike a plain floating-point sum. Non-finite values count as missing."""
+    return F.sum(_col(c).try_cast("decimal(28,10)")).cast("double")

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.functions import rules as R
-from cardlake.plans.joins import sized_broadcast
 
 # Projections of the two source variants and of the serving views.
 TRANSACTIONS_COLUMNS_A = [
@@ -50,9 +49,6 @@ UTILIZATION_COLUMNS = [
     "total_credit_limit", "total_cards", "credit_utilization", "utilization_band",
 ]
 
-# Upper bound on merchant-code rows for the broadcast side (a code list, not data).
-MCC_BROADCAST_MAX_ROWS = 100_000
-
 
 def gold_users(silver_users: DataFrame, thresholds: R.SegmentThresholds = R.SegmentThresholds()) -> DataFrame:
     with_ratio = silver_users.withColumn(
@@ -62,7 +58,8 @@ def gold_users(silver_users: DataFrame, thresholds: R.SegmentThresholds = R.Segm
 
 
 def _mcc_side(silver_mcc: DataFrame) -> DataFrame:
-    return sized_broadcast(silver_mcc.select("mcc", "category"), MCC_BROADCAST_MAX_ROWS)
+    """The code list, unhinted: the planner decides from its real bytes whether to broadcast it."""
+    return silver_mcc.select("mcc", "category")
 
 
 def _transaction_core(t: DataFrame) -> list:

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and the star relationships of the model."""
+"""The star relationships of the model and pre-aggregated look-ups along them."""
 
 from __future__ import annotations
 
@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The proof is a bounded job (``limit(max_rows + 1).count()``) that stops
-    reading once the bound is exceeded. Beyond the bound the frame is returned
-    unhinted and Catalyst/AQE plan a shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 @dataclass(frozen=True)
 class Relationship:
     """Many-to-one link from a fact column to a dimension key."""

@@ -20,11 +20,13 @@ def _money(x: str) -> str:
 
 
 def _money_parse(c: str) -> str:
-    return f"TRY_CAST(regexp_replace(CAST({c} AS VARCHAR), '[$,]', '', 'g') AS DOUBLE)"
+    value = f"TRY_CAST(regexp_replace(CAST({c} AS VARCHAR), '[$,]', '', 'g') AS DOUBLE)"
+    return f"CASE WHEN isfinite({value}) THEN {value} END"
 
 
 def _money_sum(c: str) -> str:
-    return f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100"
+    # the decimal total goes through its text: that gives the nearest double
+    return f"CAST(CAST(sum(CAST({c} AS DECIMAL(28,10))) AS VARCHAR) AS DOUBLE)"
 
 
 def _yes_no(c: str) -> str:
@@ -65,7 +67,8 @@ FROM customer"""
 RAW_CARDS = f"""
 SELECT o_orderkey AS id,
   CASE WHEN o_custkey % 37 = 36 THEN o_custkey - 1 ELSE o_custkey END AS client_id,
-  CASE WHEN o_custkey % 23 = 0 THEN '$0' ELSE {_money('500 + (o_orderkey * 613) % 20000')} END AS credit_limit,
+  CASE WHEN o_custkey % 23 = 0 THEN '$0' WHEN o_orderkey % 1009 = 5 THEN 'NaN'
+    WHEN o_orderkey % 1013 = 6 THEN '$0.004' ELSE {_money('500 + (o_orderkey * 613) % 20000')} END AS credit_limit,
   CAST(1 + o_orderkey % 3 AS INT) AS num_cards_issued,
   CASE WHEN o_orderkey % 1000 = 4 THEN '13/2020' ELSE strftime(o_orderdate, '%m/%Y') END AS acct_open_date,
   concat(lpad(CAST(1 + o_orderkey % 12 AS VARCHAR), 2, '0'), '/', CAST(2020 + o_orderkey % 10 AS VARCHAR)) AS expires,
@@ -305,9 +308,12 @@ _REJECT_COLUMNS = {
 }
 
 
-def _reject_sql() -> str:
+def _reject_sql(only: str | None = None, source: str | None = None) -> str:
     parts = []
     for table, (src, cols) in _REJECT_COLUMNS.items():
+        if only and table != only:
+            continue
+        src = source or src
         for col, typed in cols.items():
             bad = (
                 f"{col} IS NOT NULL AND trim(CAST({col} AS VARCHAR)) <> '' AND ({typed}) IS NULL"
@@ -458,5 +464,38 @@ SELECTS.update({
 })
 
 
+_LABELS = "SELECT CAST(transaction_id AS BIGINT) AS transaction_id, {} AS fraud_label FROM raw_fraud_labels"
+_ODD_LABEL = (
+    "CASE WHEN CAST(transaction_id AS BIGINT) % 89 = 4 THEN NULL "
+    "WHEN CAST(transaction_id AS BIGINT) % 97 = 5 THEN 'No, disputed' "
+    "WHEN CAST(transaction_id AS BIGINT) % 83 = 6 THEN 'Yes \"sic\"' ELSE fraud_label END"
+)
+_DIRTY_USERS = (
+    "(SELECT * REPLACE (CASE WHEN id % 17 = 2 THEN concat(CAST(id AS VARCHAR), 'x') ELSE CAST(id AS VARCHAR) END AS id, "
+    "CASE WHEN id % 11 = 3 THEN 'n/a' ELSE CAST(credit_score AS VARCHAR) END AS credit_score, "
+    "CASE WHEN id % 13 = 5 THEN 'two' ELSE CAST(num_credit_cards AS VARCHAR) END AS num_credit_cards) FROM raw_users)"
+)
+SELECTS.update({
+    "ingest_fraud_split_odd": _LABELS.format(_ODD_LABEL),
+    "ingest_fraud_lines_odd": _LABELS.format(_ODD_LABEL),
+    "ingest_csv_cards_extra": (
+        "SELECT c.*, o.o_orderpriority AS card_brand, o.o_orderstatus AS card_type "
+        "FROM raw_cards c JOIN orders o ON c.id = o.o_orderkey"
+    ),
+    "reject_report_files": _reject_sql("users", _DIRTY_USERS),
+    "silver_transactions_iso": "SELECT * FROM silver_transactions",
+    "silver_transactions_inferred": "SELECT * FROM silver_transactions",
+    "raw_landing_csv_cards": "SELECT * FROM raw_cards",
+    "raw_landing_csv_transactions": "SELECT * FROM raw_transactions",
+    "raw_landing_mcc": "SELECT mcc, category FROM raw_mcc_codes",
+    "scan_by_extension": "SELECT id, address, 'csv' AS extension FROM raw_users",
+    "table_overwrite_in_place": "SELECT * FROM silver_users",
+})
+for _view, _name in (("vw_customer_segmentation", "customer_segmentation"),
+                     ("vw_spending_transactions", "spending_transactions"),
+                     ("vw_fraud_monitoring", "fraud_monitoring")):
+    SELECTS[f"external_{_name}"] = SELECTS[f"serving_view_{_name}"] = SELECTS[_view]
+
+
 def oracle_queries(overrides: dict[str, str] | None = None) -> dict[str, str]:
     return {name: with_layers(sel, overrides) for name, sel in SELECTS.items()}

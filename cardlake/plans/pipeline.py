@@ -4,8 +4,8 @@ Layers hand off through tables in shared storage (this also cuts lineage:
 gold plans start from the silver files, not from the raw text). Tables whose
 key is unique per row are stored hash-bucketed on it, all with the same
 bucket count, so the gold fraud join (transactions x labels on the
-transaction id) and the per-customer joins read co-located buckets instead
-of shuffling the largest table again. Nothing is bucketed on a key that can
+transaction id) reads co-located buckets instead of shuffling the largest
+table again. Nothing is bucketed on a key that can
 be skewed (client ids): one hot client would become one huge bucket.
 
 The bucket count defaults to ``spark.sql.shuffle.partitions``: the silver
@@ -36,7 +36,12 @@ from cardlake.plans import tables as T
 
 SILVER_KEYS = {"users": "id", "cards": "id", "transactions": "id", "fraud_labels": "transaction_id",
                "mcc_codes": None}
-GOLD_KEYS = {"users": "id", "credit_utilization": "customer_id", "fraud_monitoring": None}
+# Gold tables are not bucketed: a bucketed side would keep AQE from splitting the skewed fact side of a join.
+GOLD_KEYS = {"users": None, "credit_utilization": None, "fraud_monitoring": None}
+# Only the two tables of the fact-to-fact join need the full bucket count.
+FACT_TABLES = ("transactions", "fraud_labels")
+DIM_BUCKET_DIVISOR = 16
+MAX_BUCKETS = 65_536  # below the engine's limit of 100,000
 
 
 @dataclass(frozen=True)
@@ -51,8 +56,14 @@ def _name(cfg: PipelineConfig, layer: str, table: str) -> str:
     return f"{cfg.schema}.{layer}_{table}"
 
 
-def _buckets(df: DataFrame, cfg: PipelineConfig) -> int:
-    return cfg.buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _buckets(df: DataFrame, cfg: PipelineConfig, table: str) -> int:
+    """Hash buckets of a table: the shuffle partition count, so that the de-duplication shuffle lays
+    out the buckets; halved until the engine accepts it (each bucket then gets the files of
+    several tasks). Dimension tables take a sixteenth: same hash, larger files."""
+    n = cfg.buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while n > MAX_BUCKETS:
+        n = -(-n // 2)
+    return n if table in FACT_TABLES else max(1, n // DIM_BUCKET_DIVISOR)
 
 
 # Within-file order of unbucketed gold tables: the fraud table is filtered on
@@ -64,7 +75,7 @@ def _write(df: DataFrame, cfg: PipelineConfig, layer: str, table: str, key: str
     name = _name(cfg, layer, table)
     cluster = GOLD_CLUSTER.get(table, ()) if layer == "gold" else ()
     T.overwrite_table(df, name, f"{cfg.out_dir}/{layer}/{table}",
-                      bucket_by=(_buckets(df, cfg), key) if key else None, cluster_by=cluster)
+                      bucket_by=(_buckets(df, cfg, table), key) if key else None, cluster_by=cluster)
     return name
 
 

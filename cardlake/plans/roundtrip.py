@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.operators import silver as S
+from cardlake.operators.quality import reject_counts
 from cardlake.plans import serving as SV
 from cardlake.plans import tables as T
 from cardlake.plans.layers import Layers
@@ -49,37 +50,100 @@ def ingest_mcc(keep_nulls: bool):
     return q
 
 
-def _fraud_files(spark: SparkSession, d: str, pretty: bool, entries_per_object: int) -> str:
-    return FS.write_label_objects(
-        _raw(spark, d, "fraud_labels"), "transaction_id", "fraud_label", scratch_path(spark, "raw_fraud"),
-        entries_per_object=entries_per_object, pretty=pretty,
-    )
+def ingest_csv_cards_extra(spark: SparkSession, d: str) -> DataFrame:
+    """Cards with two further columns, in another column order than the declared one."""
+    o = fixtures.read_driver(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("card_brand"), F.col("o_orderstatus").alias("card_type"))
+    cards = _raw(spark, d, "cards")
+    wide = cards.join(o, cards.id == o.o_orderkey).select(
+        "card_brand", *reversed(cards.columns), "card_type")
+    return FS.read_csv(spark, FS.write_csv(wide, scratch_path(spark, "raw_cards_extra")), RAW_CSV_SCHEMAS["cards"])
+
+
+def reject_report_files(spark: SparkSession, d: str) -> DataFrame:
+    """The reject report over files whose numeric columns hold text that is no number."""
+    u = _raw(spark, d, "users")
+    dirty = u.withColumns({
+        "credit_score": F.when(F.col("id") % 11 == 3, "n/a").otherwise(F.col("credit_score").cast("string")),
+        "num_credit_cards": F.when(F.col("id") % 13 == 5, "two").otherwise(F.col("num_credit_cards").cast("string")),
+        "id": F.when(F.col("id") % 17 == 2, F.concat(F.col("id").cast("string"), F.lit("x"))).otherwise(
+            F.col("id").cast("string")),
+    })
+    raw = FS.read_csv(spark, FS.write_csv(dirty, scratch_path(spark, "raw_users_dirty")))
+    return reject_counts(raw, S.users_typed(), "users")
+
+
+_TIME_PATTERN = "MM-dd-yyyy HH:mm"
+
+
+def silver_transactions_iso(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions whose times are written as ISO text."""
+    raw = _raw(spark, d, "transactions")
+    return S.clean_transactions(raw.withColumn("date", F.coalesce(
+        F.date_format(F.try_to_timestamp("date", F.lit(_TIME_PATTERN)), "yyyy-MM-dd HH:mm:ss"), "date")))
 
 
-def ingest_fraud_split(spark: SparkSession, d: str) -> DataFrame:
-    return FS.bronze_fraud_labels_split(spark, _fraud_files(spark, d, True, 200_000))
+def silver_transactions_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions whose time column a reader with type inference already made a timestamp."""
+    raw = _raw(spark, d, "transactions").withColumn("date", F.date_format(
+        F.try_to_timestamp("date", F.lit(_TIME_PATTERN)), "yyyy-MM-dd HH:mm:ss"))
+    path = FS.write_csv(raw, scratch_path(spark, "raw_transactions_iso"))
+    return S.clean_transactions(FS.read_csv(spark, path, infer=True))
 
 
-def ingest_fraud_lines(spark: SparkSession, d: str) -> DataFrame:
-    return FS.bronze_fraud_labels_by_line(spark, _fraud_files(spark, d, False, 5_000))
+def _fraud_files(spark: SparkSession, labels: DataFrame, pretty: bool) -> str:
+    return FS.write_label_objects(labels, "transaction_id", "fraud_label", scratch_path(spark, "raw_fraud"),
+                                  pretty=pretty)
 
 
-def ingest_fraud_whole(spark: SparkSession, d: str) -> DataFrame:
-    return FS.bronze_fraud_labels_whole(spark, _fraud_files(spark, d, True, 5_000))
+def _odd_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels with nulls, commas and quotes among them."""
+    tid = F.col("transaction_id").cast("long")
+    return _raw(spark, d, "fraud_labels").withColumn(
+        "fraud_label", F.when(tid % 89 == 4, F.lit(None).cast("string")).when(tid % 97 == 5, "No, disputed").when(
+            tid % 83 == 6, 'Yes "sic"').otherwise(F.col("fraud_label")))
+
+
+def ingest_fraud(reader, pretty: bool, labels=None):
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        frame = labels(spark, d) if labels else _raw(spark, d, "fraud_labels")
+        return reader(spark, _fraud_files(spark, frame, pretty))
+
+    return q
+
 
+def raw_landing_csv(name: str):
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        src = FS.write_csv(_raw(spark, d, name), scratch_path(spark, f"source_{name}"))
+        dst = FS.land_csv(spark, src, scratch_path(spark, f"landed_{name}"))
+        return FS.read_csv(spark, dst, RAW_CSV_SCHEMAS[name])
 
-def raw_landing_csv(spark: SparkSession, d: str) -> DataFrame:
-    src = FS.write_csv(_raw(spark, d, "users"), scratch_path(spark, "source_users"))
-    dst = FS.land_csv(spark, src, scratch_path(spark, "landed_users"))
-    return FS.read_csv(spark, dst, RAW_CSV_SCHEMAS["users"])
+    return q
 
 
 def raw_landing_json(spark: SparkSession, d: str) -> DataFrame:
-    src = _fraud_files(spark, d, False, 5_000)
+    src = _fraud_files(spark, _raw(spark, d, "fraud_labels"), False)
     dst = FS.land_text(spark, src, scratch_path(spark, "landed_fraud"), glob="*.txt")
     return FS.bronze_fraud_labels_by_line(spark, dst)
 
 
+def raw_landing_mcc(spark: SparkSession, d: str) -> DataFrame:
+    src = FS.write_json_object(_raw(spark, d, "mcc_codes"), "mcc", "category", scratch_path(spark, "source_mcc"))
+    return FS.bronze_mcc_codes(spark, FS.land_text(spark, src, scratch_path(spark, "landed_mcc"), glob="*.txt"))
+
+
+def scan_by_extension(spark: SparkSession, d: str) -> DataFrame:
+    """A folder tree of mixed files: only the delimited ones are read, each row with its file's extension."""
+    base = scratch_path(spark, "mixed")
+    users = _raw(spark, d, "users")
+    FS.write_csv(users, f"{base}/delimited/users")
+    users.write.json(f"{base}/json")
+    FS.write_json_object(_raw(spark, d, "mcc_codes"), "mcc", "category", f"{base}/text")
+    found = FS.with_source_file(FS.read_csv(spark, base, recursive=True))
+    return found.select(F.col("id").try_cast("long").alias("id"), "address", F.regexp_extract(
+        "source_file", "[.]([a-z]+)$", 1).alias("extension"))
+
+
 def _scratch_schema(spark: SparkSession) -> None:
     T.create_schema(spark, SCRATCH_SCHEMA, scratch_path(spark, "schema"))
 
@@ -113,30 +177,39 @@ def table_merge_schema(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name)
 
 
-UTILIZATION_DDL = (
-    "customer_id BIGINT, current_age INT, gender STRING, yearly_income DOUBLE, total_debt DOUBLE, "
-    "credit_score INT, total_credit_limit DOUBLE, total_cards INT, credit_utilization DOUBLE, "
-    "utilization_band STRING"
-)
+def table_overwrite_in_place(spark: SparkSession, d: str) -> DataFrame:
+    """Gold users, then silver users under the same name and in the same folder: a re-run replaces rows and
+    columns, and no file of the first version is left."""
+    L = Layers.from_driver_tables(spark, d)
+    _scratch_schema(spark)
+    name, path = _table_name("users_in_place"), scratch_path(spark, "table_users_in_place")
+    T.overwrite_table(L.gold("users"), name, path)
+    T.overwrite_table(L.silver("users"), name, path)
+    return spark.read.parquet(path)
 
 
-def _external_utilization(spark: SparkSession, d: str) -> str:
-    L = Layers.from_driver_tables(spark, d)
-    folder = scratch_path(spark, "credit_utilization")
-    SV.credit_utilization_view(L.gold("credit_utilization")).write.mode("overwrite").parquet(folder)
+def _external(spark: SparkSession, d: str, view: str) -> str:
+    """The projection of one serving view as an external table with declared columns."""
+    source, build = SV.VIEWS[view]
+    frame = build(Layers.from_driver_tables(spark, d).gold(source))
+    folder = scratch_path(spark, view)
+    frame.write.mode("overwrite").parquet(folder)
     _scratch_schema(spark)
-    return T.external_table(spark, _table_name("ext_credit_utilization"), UTILIZATION_DDL, folder)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
+    return T.external_table(spark, _table_name(f"ext_{view}"), ddl, folder)
 
 
-def external_table(spark: SparkSession, d: str) -> DataFrame:
-    return spark.table(_external_utilization(spark, d))
+def external_table(view: str):
+    return lambda spark, d: spark.table(_external(spark, d, view))
 
 
-def serving_view(spark: SparkSession, d: str) -> DataFrame:
-    ext = _external_utilization(spark, d)
-    view = _table_name("vw_credit_utilization")
-    T.create_view(spark, view, f"SELECT * FROM {ext}")
-    return spark.table(view)
+def serving_view(view: str):
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        name = _table_name(view)
+        T.create_view(spark, name, f"SELECT * FROM {_external(spark, d, view)}")
+        return spark.table(name)
+
+    return q
 
 
 ROUNDTRIP_QUERIES = {
@@ -146,13 +219,30 @@ ROUNDTRIP_QUERIES = {
     "ingest_silver_transactions": ingest_silver_transactions,
     "ingest_mcc_map": ingest_mcc(True),
     "ingest_mcc_json": ingest_mcc(False),
-    "ingest_fraud_split": ingest_fraud_split,
-    "ingest_fraud_lines": ingest_fraud_lines,
-    "ingest_fraud_whole": ingest_fraud_whole,
-    "raw_landing_csv": raw_landing_csv,
+    "ingest_fraud_split": ingest_fraud(FS.bronze_fraud_labels_split, True),
+    "ingest_fraud_lines": ingest_fraud(FS.bronze_fraud_labels_by_line, False),
+    "ingest_fraud_whole": ingest_fraud(FS.bronze_fraud_labels_whole, True),
+    "ingest_fraud_split_odd": ingest_fraud(FS.bronze_fraud_labels_split, True, _odd_labels),
+    "ingest_fraud_lines_odd": ingest_fraud(FS.bronze_fraud_labels_by_line, False, _odd_labels),
+    "ingest_csv_cards_extra": ingest_csv_cards_extra,
+    "reject_report_files": reject_report_files,
+    "silver_transactions_iso": silver_transactions_iso,
+    "silver_transactions_inferred": silver_transactions_inferred,
+    "raw_landing_csv": raw_landing_csv("users"),
+    "raw_landing_csv_cards": raw_landing_csv("cards"),
+    "raw_landing_csv_transactions": raw_landing_csv("transactions"),
+    "raw_landing_mcc": raw_landing_mcc,
+    "scan_by_extension": scan_by_extension,
     "raw_landing_json": raw_landing_json,
     "table_overwrite": table_overwrite,
+    "table_overwrite_in_place": table_overwrite_in_place,
     "table_merge_schema": table_merge_schema,
-    "external_table": external_table,
-    "serving_view": serving_view,
+    "external_table": external_table("vw_credit_utilization"),
+    "external_customer_segmentation": external_table("vw_customer_segmentation"),
+    "external_spending_transactions": external_table("vw_spending_transactions"),
+    "external_fraud_monitoring": external_table("vw_fraud_monitoring"),
+    "serving_view": serving_view("vw_credit_utilization"),
+    "serving_view_customer_segmentation": serving_view("vw_customer_segmentation"),
+    "serving_view_spending_transactions": serving_view("vw_spending_transactions"),
+    "serving_view_fraud_monitoring": serving_view("vw_fraud_monitoring"),
 }

@@ -8,11 +8,11 @@ object. Writers: the same shapes from DataFrames, all distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardlake.operators.reshape import FRAUD_OBJECT_SCHEMA, explode_map, wide_to_pairs
+from cardlake.operators.reshape import FRAUD_OBJECT_SCHEMA, explode_map
 
 # Dialect of the delimited source files.
 CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
@@ -20,27 +20,34 @@ CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
 # "" and a NULL as an empty field, and the reader tells them apart.
 CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CSV_READ_KEEP_EMPTY = {"nullValue": "\\N"}
-
-# key/value pair of a flat JSON string map, e.g.  "12345": "Yes"
-_PAIR = r'"([^"\\]*)"\s*:\s*"([^"\\]*)"'
-
+# Landing quotes every field, so NULL needs a mark of its own.
+CSV_LAND_NULL = {"nullValue": "\\N"}
 
 # --- readers ----------------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, glob: str | None = "*.csv",
-             recursive: bool = False, keep_empty_strings: bool = True, **options: str) -> DataFrame:
-    """Header CSV. A declared ``schema`` avoids the inference pass over the
-    data; without one, ``inferSchema`` is used as the fallback.
-    ``keep_empty_strings``: a quoted empty field reads as '' (an unquoted
-    empty field is NULL); otherwise both read as NULL (Spark's default)."""
+             recursive: bool = False, keep_empty_strings: bool = True, infer: bool = False,
+             **options: str) -> DataFrame:
+    """Header CSV; columns go by their header names, in any order. Without a ``schema`` every column is
+    text (``infer=True``: inferred types). With one, its columns come first, cast to their types
+    (text that does not fit is NULL), then all other columns as text; a column the files lack is
+    an error that names it. ``keep_empty_strings``: a quoted empty field reads as '' (an unquoted empty
+    field is NULL); otherwise both read as NULL (Spark's default)."""
     base = {**CSV_DIALECT, **(CSV_READ_KEEP_EMPTY if keep_empty_strings else {})}
-    r = spark.read.options(**{**base, **options})
+    r = spark.read.options(**{**base, **options}).option("inferSchema", str(infer).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return r.csv(path)
+    df = r.csv(path)
+    if schema is None:
+        return df
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    extra = [c for c in df.columns if c not in schema.names]
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                     *[F.col(f"`{c}`") for c in extra])
 
 
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
@@ -69,13 +76,15 @@ def read_text_whole(spark: SparkSession, path: str) -> DataFrame:
 # --- bronze builders --------------------------------------------------------------
 
 def bronze_mcc_codes(spark: SparkSession, path: str, keep_nulls: bool = True) -> DataFrame:
-    """Merchant-code object ``{"<code>": "<category>", ...}`` -> (mcc, category).
+    """Merchant-code objects ``{"<code>": "<category>", ...}``, one per file and in any layout -> (mcc,
+    category). Each object is read as one map, so planning does not grow with the codes.
 
     ``keep_nulls=True`` keeps NULL-valued codes (map form); ``False`` drops them
     (JSON round-trip form)."""
-    wide = read_json_object(spark, path)
-    pairs = wide_to_pairs(wide, "mcc", "category", keep_nulls=keep_nulls)
-    return pairs.select(F.col("mcc").try_cast("int").alias("mcc"), F.col("category").cast("string"))
+    objects = read_text_whole(spark, path).select(F.from_json("value", "map<string,string>").alias("codes"))
+    pairs = explode_map(objects, "codes", "mcc", "category")
+    pairs = pairs if keep_nulls else pairs.filter(F.col("category").isNotNull())
+    return pairs.select(F.col("mcc").try_cast("int").alias("mcc"), "category")
 
 
 def _fraud_rows(parsed: DataFrame) -> DataFrame:
@@ -96,22 +105,41 @@ def bronze_fraud_labels_whole(spark: SparkSession, path: str) -> DataFrame:
     return _fraud_rows(files.select(F.from_json("value", FRAUD_OBJECT_SCHEMA).alias("data")))
 
 
-def bronze_fraud_labels_split(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
-    """Splittable read of giant flat string maps.
-
-    The text reader splits records on ``separator`` instead of newlines, so
-    one huge object is cut into many input splits and read in parallel; each
-    record holds at most one ``"key": "value"`` pair (plus braces or the
-    ``"target":`` prefix, which the pair pattern skips). Keys and values must
-    not contain the separator; the labels here are Yes/No words.
-    """
-    recs = spark.read.option("lineSep", separator).option("recursiveFileLookup", "true").text(path)
-    pairs = recs.select(
-        F.regexp_extract("value", _PAIR, 1).alias("k"),
-        F.regexp_extract("value", _PAIR, 2).alias("v"),
-        F.col("value").rlike(_PAIR).alias("hit"),
-    ).filter("hit")
-    return pairs.select(F.col("k").try_cast("long").alias("transaction_id"), F.col("v").alias("fraud_label"))
+_OPENED = r'^\s*\{?\s*"((?:[^"\\]|\\.)*)"\s*:\s*\{\s*$'
+_CLOSED = r"^[\s}]*\}[\s},]*$"
+_ENTRY = r'^\s*("(?:[^"\\]|\\.)*"\s*:\s*(?:null|"(?:[^"\\]|\\.)*"))\s*,?\s*$'
+
+
+def bronze_fraud_labels_split(spark: SparkSession, path: str) -> DataFrame:
+    """Splittable read of giant label objects laid out over lines, one entry a line.
+
+    JSON text never has a raw line break inside a string, so lines can be read from any number of
+    input splits: escapes, commas and nulls inside an entry stay intact. An entry belongs to
+    the object that was opened last before it; the few lines that open or close objects are
+    gathered per input split and looked up, and only entries of ``target`` are labels. A line that
+    is a whole object is parsed as one. A line that is none of these is returned with a NULL id and
+    the line as its label, so nothing is lost unseen."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value").where(F.trim("value") != "")
+    opened, closed = F.regexp_extract("value", _OPENED, 1), F.col("value").rlike(_CLOSED)
+    bare = F.col("value").rlike(r"^\s*\{\s*$")
+    is_open = F.col("value").rlike(_OPENED)
+    marks = lines.where(is_open | closed).groupBy("file", "block").agg(
+        F.sort_array(F.collect_list(F.struct("line", F.when(is_open, opened).otherwise("").alias("scope")))).alias("marks"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.select("file", "block").distinct().join(marks, ["file", "block"], "left").withColumn(
+        "before", F.last(F.element_at("marks", -1)["scope"], ignorenulls=True).over(earlier))
+    entries = lines.where(~is_open & ~closed & ~bare).join(blocks, ["file", "block"], "left")
+    scope = F.coalesce(F.when(F.size("marks") > 0, F.try_element_at(
+        F.filter("marks", lambda m: m["line"] < F.col("line")), F.lit(-1))["scope"]), F.col("before"), F.lit(""))
+    entry = F.regexp_extract("value", _ENTRY, 1)
+    whole = F.col("value").rlike(r"^\s*\{.*\}\s*$")
+    pairs = F.when(whole, F.from_json("value", FRAUD_OBJECT_SCHEMA)["target"]).when(
+        entry != "", F.when(scope == "target", F.from_json(F.concat(F.lit("{"), entry, F.lit("}")), "map<string,string>"))
+        .otherwise(F.create_map().cast("map<string,string>"))).otherwise(F.create_map(F.lit(""), F.col("value")))
+    rows = entries.select(F.explode(pairs).alias("k", "fraud_label"))
+    return rows.select(F.col("k").try_cast("long").alias("transaction_id"), "fraud_label")
 
 
 # --- writers ----------------------------------------------------------------------
@@ -119,72 +147,43 @@ def bronze_fraud_labels_split(spark: SparkSession, path: str, separator: str = "
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> str:
     w = df.write.mode("overwrite").options(**CSV_DIALECT, **CSV_WRITE)
     if quote_all:
-        w = w.option("quoteAll", "true")
+        w = w.options(quoteAll="true", **CSV_LAND_NULL)
     w.csv(path)
     return path
 
 
-def write_json_object(df: DataFrame, key: str, value: str, path: str, max_keys: int = 100_000) -> str:
-    """Write (key, value) rows as ONE JSON object ``{"k": "v", ...}``.
-
-    A single object is a single file, so this is for bounded code lists; the
-    key count is checked first."""
-    n = df.limit(max_keys + 1).count()
-    if n > max_keys:
-        raise ValueError(f"more than {max_keys} keys; write a splittable form instead")
-    obj = df.agg(
-        F.to_json(
-            F.map_from_entries(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value).cast("string"))))
-        ).alias("value")
-    )
-    obj.coalesce(1).write.mode("overwrite").text(path)
-    return path
-
+def _objects(df: DataFrame, key: str, value: str, entries: int, head: str, sep: str, tail: str) -> DataFrame:
+    """(key, value) rows as JSON objects of at most ``entries`` consecutive rows of a task. Entries are
+    written by the JSON generator, so quotes and nulls are kept; an object never grows with a key."""
+    pair = F.to_json(F.create_map(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(value).cast("string")))
+    block = F.floor(F.monotonically_increasing_id() / F.lit(entries))
+    numbered = df.select(block.alias("block"), F.substring(pair, F.lit(2), F.length(pair) - 2).alias("entry"))
+    return numbered.groupBy("block").agg(F.concat(
+        F.lit(head), F.array_join(F.collect_list("entry"), sep), F.lit(tail)).alias("value")).select("value")
 
-def _chunk_objects(entries_per_object: int, head: str, sep: str, tail: str):
-    """Per-partition builder: consecutive entries of one task's rows, at most
-    ``entries_per_object`` per object (Arrow batches in, one row per object out)."""
 
-    def build(batches):
-        import pandas as pd
-
-        buf: list[str] = []
-        for pdf in batches:
-            for e in pdf["e"].tolist():
-                buf.append(e)
-                if len(buf) == entries_per_object:
-                    yield pd.DataFrame({"value": [head + sep.join(buf) + tail]})
-                    buf = []
-        if buf:
-            yield pd.DataFrame({"value": [head + sep.join(buf) + tail]})
-
-    return build
+def write_json_object(df: DataFrame, key: str, value: str, path: str, entries_per_object: int = 50_000) -> str:
+    """Write (key, value) rows as JSON objects ``{"k": "v", ...}``, one per file and as many as needed."""
+    _objects(df, key, value, entries_per_object, "{", ", ", "}").write.mode("overwrite").option(
+        "maxRecordsPerFile", 1).text(path)
+    return path
 
 
 def write_label_objects(df: DataFrame, key: str, value: str, path: str, entries_per_object: int = 200_000,
                         pretty: bool = False) -> str:
-    """Write (key, value) rows as ``{"target": {"k": "v", ...}}`` objects, one
-    object per file.
-
-    Each write task packs its own partition's rows into objects of at most
-    ``entries_per_object`` entries: no shuffle and no grouping by key, so no
-    object or task grows with a hot key, and a retried task rewrites exactly
-    its own files. ``pretty`` lays each object out over many lines, as an
-    editor would."""
-    entry = F.concat(F.lit('"'), F.col(key).cast("string"), F.lit('": "'), F.col(value).cast("string"), F.lit('"'))
+    """Write (key, value) rows as ``{"target": {"k": "v", ...}}`` objects of at most ``entries_per_object``
+    entries. ``pretty`` lays each out over many lines, one entry a line and one object per file;
+    otherwise an object is one line and a file holds many."""
     sep, head, tail = (",\n    ", '{\n  "target": {\n    ', "\n  }\n}") if pretty else (", ", '{"target": {', "}}")
-    objects = df.select(entry.alias("e")).mapInPandas(
-        _chunk_objects(entries_per_object, head, sep, tail), "value string"
-    )
-    objects.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    w = _objects(df, key, value, entries_per_object, head, sep, tail).write.mode("overwrite")
+    (w.option("maxRecordsPerFile", 1) if pretty else w).text(path)
     return path
 
 
-def land_csv(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> str:
-    """Raw landing copy of delimited files: every field re-quoted, header kept,
-    read and written as text columns (no type conversion, nothing truncated)."""
-    df = spark.read.options(**CSV_DIALECT, **CSV_READ_KEEP_EMPTY).option("pathGlobFilter", glob).csv(src)
-    return write_csv(df, dst, quote_all=True)
+def land_csv(spark: SparkSession, src: str, dst: str, glob: str = "*.csv", recursive: bool = False) -> str:
+    """Raw landing copy of delimited files: every field re-quoted, header kept, read and written as text
+    columns (no type conversion, nothing truncated, NULL and '' kept apart)."""
+    return write_csv(read_csv(spark, src, glob=glob, recursive=recursive), dst, quote_all=True)
 
 
 def land_text(spark: SparkSession, src: str, dst: str, glob: str = "*.json") -> str:
@@ -212,16 +211,14 @@ def write_raw_dir(raw: dict[str, DataFrame], raw_dir: str, pretty_labels: bool =
 
 
 def read_raw_dir(spark: SparkSession, raw_dir: str, fraud_reader: str = "split") -> dict[str, DataFrame]:
-    """Raw frames from one raw folder (declared CSV schemas, map-form code
-    list, splittable label reader by default)."""
-    from cardlake.schemas import RAW_CSV_SCHEMAS
-
+    """Raw frames from one raw folder: CSV columns as text under their header names (silver types them and
+    the reject report counts what does not fit), map-form code list, splittable label reader by default."""
     readers = {
         "split": bronze_fraud_labels_split,
         "lines": bronze_fraud_labels_by_line,
         "whole": bronze_fraud_labels_whole,
     }
-    frames = {name: read_csv(spark, f"{raw_dir}/{name}", RAW_CSV_SCHEMAS[name]) for name in
+    frames = {name: read_csv(spark, f"{raw_dir}/{name}") for name in
               ("users", "cards", "transactions")}
     frames["mcc_codes"] = bronze_mcc_codes(spark, f"{raw_dir}/mcc_codes", keep_nulls=True)
     frames["fraud_labels"] = readers[fraud_reader](spark, f"{raw_dir}/fraud_labels")

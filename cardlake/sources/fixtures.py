@@ -1,9 +1,10 @@
 """Raw banking frames derived from the driver's TPC-H-like tables.
 
-Every fixture keeps every input row: no row subsets, only value rules that
-inject the dirty shapes the cleaning layer must handle (duplicate keys with
+Value rules inject the dirty shapes the cleaning layer must handle (duplicate keys with
 different content, unparseable money and dates, padded flags, NULL states,
-codes without a category, lower-case labels). The same rules are written as
+codes without a category, lower-case labels). Every row of the input
+is read; fraud labels exist, as in the source, for part of the transactions only (line items
+with return flag R or A). The same rules are written as
 SQL in ``cardlake.plans.oracle`` for the independent DuckDB check.
 
 Raw column types follow what a header CSV read with schema inference gives:
@@ -19,20 +20,7 @@ DRIVER_TABLES = ("customer", "orders", "lineitem", "supplier", "nation", "part")
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_thin_input(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread_thin_input(df: DataFrame) -> DataFrame:
-    """A scan with fewer input splits than task slots (e.g. one file that is a
-    single Parquet row group) would run every per-row step up to the first
-    shuffle in that many tasks. Spread it round-robin over the default
-    parallelism; a large input (many splits) is left untouched."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(target) if splits < target else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _money_text(x: Column) -> Column:
@@ -77,8 +65,9 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("id"),
         # every 37th customer's cards are booked on its neighbour: users without a card
         F.when(cust % 37 == 36, cust - 1).otherwise(cust).alias("client_id"),
-        # every 23rd customer has only zero-limit cards: NULL utilization
-        F.when(cust % 23 == 0, "$0").otherwise(_money_text(500 + (k * 613) % 20000)).alias("credit_limit"),
+        # every 23rd customer has only zero-limit cards: NULL utilization; some limits are no number or below a cent
+        F.when(cust % 23 == 0, "$0").when(k % 1009 == 5, "NaN").when(k % 1013 == 6, "$0.004")
+        .otherwise(_money_text(500 + (k * 613) % 20000)).alias("credit_limit"),
         (1 + k % 3).cast("int").alias("num_cards_issued"),
         F.when(k % 1000 == 4, "13/2020").otherwise(F.date_format("o_orderdate", "MM/yyyy")).alias("acct_open_date"),
         F.concat(F.lpad((1 + k % 12).cast("string"), 2, "0"), F.lit("/"), (2020 + k % 10).cast("string")).alias(

@@ -47,8 +47,8 @@ def test_wholetext_option_trap(spark):
 def test_split_reader_uses_many_splits(spark):
     base = tempfile.mkdtemp(dir="/tmp")
     big = {str(i): "No" for i in range(200_000)}
-    path = write(f"{base}/big", "labels.json", json.dumps({"target": big}))
-    # one ~2.6 MB single-line object, read in 256 KB splits
+    path = write(f"{base}/big", "labels.json", json.dumps({"meta": {"7": "Yes"}, "target": big}, indent=1))
+    # one ~3 MB object, an entry a line, read in 256 KB splits
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
     try:
         df = FS.bronze_fraud_labels_split(spark, path)
@@ -59,6 +59,38 @@ def test_split_reader_uses_many_splits(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_split_reader_loses_and_adds_nothing(spark):
+    base = tempfile.mkdtemp(dir="/tmp")
+    obj = {"meta": {"7": "Yes"}, "target": {"1": "Yes", "2": None, "3": "No, disputed", "4": 'a "b" {c}', "5": "No"},
+           "after": {"8": "Yes"}}
+    want = {(1, "Yes"), (2, None), (3, "No, disputed"), (4, 'a "b" {c}'), (5, "No")}
+    assert rows(FS.bronze_fraud_labels_split(spark, write(f"{base}/p", "a.json", json.dumps(obj, indent=2)))) == want
+    assert rows(FS.bronze_fraud_labels_split(spark, write(f"{base}/q", "a.json", json.dumps(obj)))) == want
+    odd = write(f"{base}/r", "a.json", '{\n"target": {\n"1": "Yes",\n"2" oops\n}\n}')
+    assert rows(FS.bronze_fraud_labels_split(spark, odd)) == {(1, "Yes"), (None, '"2" oops')}
+
+
+def test_csv_by_header_name_with_extras_and_missing_column(spark):
+    import pytest
+    from pyspark.sql.types import LongType, StringType, StructType
+
+    base = tempfile.mkdtemp(dir="/tmp")
+    path = write(base, "cards.csv", "brand,limit,id\nVisa,$5,7x\nAmex,$6,8\n")
+    schema = StructType().add("id", LongType()).add("limit", StringType())
+    got = {tuple(r) for r in FS.read_csv(spark, path, schema).collect()}
+    assert got == {(None, "$5", "Visa"), (8, "$6", "Amex")}
+    with pytest.raises(ValueError, match="has_chip"):
+        FS.read_csv(spark, path, StructType().add("has_chip", StringType()))
+
+
+def test_landing_keeps_null_and_empty_apart(spark):
+    base = tempfile.mkdtemp(dir="/tmp")
+    df = spark.createDataFrame([("1", None), ("2", ""), ("3", " x ")], "id string, s string")
+    src = FS.write_csv(df, f"{base}/src")
+    back = FS.read_csv(spark, FS.land_csv(spark, src, f"{base}/dst"))
+    assert {tuple(r) for r in back.collect()} == {("1", None), ("2", ""), ("3", " x ")}
+
+
 def test_mcc_object_map_and_json_forms(spark):
     base = tempfile.mkdtemp(dir="/tmp")
     obj = {"5411": " Grocery Stores ", "5812": "Eating Places", "9999": None}
@@ -75,4 +107,4 @@ def test_csv_extension_filter_and_provenance(spark):
     write(base, "notes.txt", "id,name\n3,c\n")
     df = FS.with_source_file(FS.read_csv(spark, base, None, glob="*.csv"))
     got = sorted((r.id, r.source_file) for r in df.collect())
-    assert got == [(1, "users_data.csv"), (2, "users_data.csv")]
+    assert got == [("1", "users_data.csv"), ("2", "users_data.csv")]
