@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from cardlake.llm.tables import python_tasks
 
 #: Distinct pieces a worker remembers between batches; beyond it the memory starts anew.
-REMEMBERED_PIECES = 400_000
+REMEMBERED_PIECES = 150_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = regex.compile(f"[^{_SPACE}]+")

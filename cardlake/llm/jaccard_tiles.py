@@ -48,7 +48,7 @@ BLOCK = 512
 COMMON_SHINGLES = 1 << 17
 COMMON_FROM = 64  # classes that make a shingle common
 _LOCALLY_COMMON = 4
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 _SETS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
                    ("bitmap", pa.binary()), ("text_key", pa.int64())])

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.session import ensure_checkpoint_dir, scratch_path
 
-MAX_BATCH_ROWS = 1000
-MAX_BATCH_BYTES = 64 << 20
+MAX_BATCH_ROWS = 500
+MAX_BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

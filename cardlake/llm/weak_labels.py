@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.tables import python_tasks, written
-from cardlake.llm.words import BLANKS, distinct, utf8, window_hashes, word_hashes, word_spans
+from cardlake.llm.words import BLANKS, distinct, stretches, utf8, window_hashes, word_hashes, word_spans
 
 JUNK, CLEAN, NONE = 0, 1, 2
 BUCKET_BITS = 16
@@ -152,10 +152,11 @@ def train(docs: DataFrame, posterior: dict[int, float]) -> tuple[np.ndarray, flo
         for b in batches:
             raws = [utf8(t) for t in b.column(0).to_pylist()]
             clean = np.array([posterior.get(pattern(r), 0.5) for r in raws])
-            bucket, n = _trigrams(raws)
-            share = np.repeat(clean, n)
-            total[1] += np.bincount(bucket, weights=share, minlength=1 << BUCKET_BITS)
-            total[0] += np.bincount(bucket, weights=1 - share, minlength=1 << BUCKET_BITS)
+            for a, z in stretches(raws):
+                bucket, n = _trigrams(raws[a:z])
+                share = np.repeat(clean[a:z], n)
+                total[1] += np.bincount(bucket, weights=share, minlength=1 << BUCKET_BITS)
+                total[0] += np.bincount(bucket, weights=1 - share, minlength=1 << BUCKET_BITS)
         at = np.flatnonzero(total.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])],
                                          names=["bucket", "junk", "clean"])
@@ -179,11 +180,14 @@ class Scorer:
 
     def odds(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Mean weight of each text's trigrams and the prior's, and the number of its trigrams."""
-        bucket, n = _trigrams(raws)
-        upto = np.concatenate([[0.0], np.cumsum(self.weights[bucket])])
-        end = np.cumsum(n)
-        mean = (upto[end] - upto[end - n] + PRIOR_TRIGRAMS * self.ordinary) / (n + PRIOR_TRIGRAMS)
-        return np.round(mean, 6), n
+        mean, count = [np.zeros(0)], [np.zeros(0, dtype=np.int64)]
+        for a, z in stretches(raws):
+            bucket, n = _trigrams(raws[a:z])
+            upto = np.concatenate([[0.0], np.cumsum(self.weights[bucket])])
+            end = np.cumsum(n)
+            mean.append((upto[end] - upto[end - n] + PRIOR_TRIGRAMS * self.ordinary) / (n + PRIOR_TRIGRAMS))
+            count.append(n)
+        return np.round(np.concatenate(mean), 6), np.concatenate(count)
 
 
 def _scored(docs: DataFrame, scorer: Scorer) -> DataFrame:

@@ -21,6 +21,7 @@ _LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93)
+STRETCH = 1 << 18  # bytes of text hashed at a time
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
 
@@ -63,14 +64,20 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word: differences of one running polynomial sum over the
     text, shifted back to the word's own start, mixed with the word's length."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    power, inverse = _power_tables(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((np.frombuffer(raw, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * power[: len(raw)],
-              out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * _WINDOW_BASE)
+    out = np.zeros(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(starts):  # one stretch of text after another, so work memory stays bounded
+        base = int(starts[first])
+        stop = max(first + 1, int(np.searchsorted(ends, base + STRETCH, side="right")))
+        s, e = starts[first:stop] - base, ends[first:stop] - base
+        n = int(e[-1])
+        power, inverse = _power_tables(n + 1)
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((np.frombuffer(raw, dtype=np.uint8, count=n, offset=base).astype(np.uint64) + np.uint64(1))
+                  * power[:n], out=total[1:])
+        out[first:stop] = (total[e] - total[s]) * inverse[s]
+        first = stop
+    return mix(out + (ends - starts).astype(np.uint64) * _WINDOW_BASE)
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -101,3 +108,14 @@ def pack_sorted(values: np.ndarray) -> bytes:
 def unpack_sorted(raw: bytes) -> np.ndarray:
     gaps = np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
     return np.cumsum(gaps, dtype=np.uint32)
+
+
+def stretches(raws: list[bytes], most: int = 1 << 20) -> list[tuple[int, int]]:
+    """Consecutive texts in groups of about ``most`` bytes (a longer text is a group of its own)."""
+    out, start, held = [], 0, 0
+    for i, r in enumerate(raws):
+        if held and held + len(r) > most:
+            out.append((start, i))
+            start, held = i, 0
+        held += len(r)
+    return out + [(start, len(raws))] if raws else out
