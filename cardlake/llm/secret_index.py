@@ -233,11 +233,11 @@ def _looked_up(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col:
     return keyed.join(found, keyed.row_key == found.found_key, "left").select("doc", "text", "rule_nos")
 
 
-def _applies(no: int, rule: Rule) -> Column:
+def _applies(text: Column, no: int, rule: Rule) -> Column:
     """Whether the rule is to be verified on the row; a rule that scans fully first asks for one
     long enough match, which spares most texts the search for positions."""
     if trigram_query(rule.pattern) == ALWAYS:
-        return F.col("text").rlike(rule.pattern[:-1] + "{%d}" % rule.least) if rule.pattern.endswith("]+") and (
+        return text.rlike(rule.pattern[:-1] + "{%d}" % rule.least) if rule.pattern.endswith("]+") and (
             rule.least and not rule.group) else F.lit(True)
     return F.coalesce(F.array_contains("rule_nos", F.lit(no)), F.lit(False))
 
@@ -250,7 +250,7 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
                       "doc_id", "text")
     none = F.array().cast(_SPAN)
     found = F.array_sort(F.concat(*[
-        F.when(_applies(n, r), _spans(F.col("text"), n, r)).otherwise(none) for n, r in enumerate(rules)]))
+        F.when(_applies(F.col("text"), n, r), _spans(F.col("text"), n, r)).otherwise(none) for n, r in enumerate(rules)]))
     spans = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), found.alias("found"))
     base = [n for n, r in enumerate(rules) if r.base]
 
@@ -270,15 +270,18 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
     The method's own rules apply first, then the base
     kinds, each to what the earlier ones left. A null text stays null."""
     rows = _looked_up(docs, rules, id_col, text_col)
-    text = F.col("text")
 
-    def replaced(rule: Rule) -> Column:
+    def replaced(text: Column, rule: Rule) -> Column:
         return _let(_matches(text, rule), lambda parts: F.concat(
             F.array_join(F.transform(parts, lambda x: F.concat(
                 x["gap"], F.when(x["ok"], F.lit(REDACTED)).otherwise(x["hit"]))), ""),
             F.element_at(F.split(text, rule.pattern, -1), -1)))
 
+    def step(value: Column, no: int, rule: Rule) -> Column:
+        return _let(value, lambda t: F.when(_applies(t, no, rule), replaced(t, rule)).otherwise(t))
+
+    text = F.col("text")
     for n, rule in sorted(enumerate(rules), key=lambda x: x[1].base):
-        rows = rows.withColumn("text", F.when(_applies(n, rule), replaced(rule)).otherwise(text))
-    clean = F.when(F.col(f"doc.`{text_col}`").isNotNull(), F.col("text")).alias(text_col)
+        text = step(text, n, rule)
+    clean = F.when(F.col(f"doc.`{text_col}`").isNotNull(), text).alias(text_col)
     return rows.select(*[clean if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])

@@ -73,6 +73,8 @@ def nra(rows: np.ndarray, queries: np.ndarray, k: int, own: np.ndarray) -> list[
         seen_down, seen_up = rows >= edge_down, rows <= edge_up
         upper = plus @ np.where(seen_down, rows, edge_down).T + minus @ np.where(seen_up, rows, edge_up).T
         lower = plus @ np.where(seen_down, rows, ranked[0]).T + minus @ np.where(seen_up, rows, ranked[-1]).T
+        for bound in (lower, upper):  # as far as scores go
+            np.clip(bound, -(2.0 ** 63), 2.0 ** 63, out=bound)
         lower[own[active]] = upper[own[active]] = -np.inf
         kth = np.partition(lower, n - k, axis=1)[:, n - k]
         # sums of integers in floating point: leave room for their rounding

@@ -39,7 +39,7 @@ def brute_topk(vectors, queries_, k):
     for qi, qv in [(i, ints(v)) for i, v in queries_]:
         if qi is None or qv is None:
             continue
-        best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in rows
+        best = sorted((-max(-1 << 63, min((1 << 63) - 1, sum(a * b for a, b in zip(qv, v)))), i) for i, v in rows
                       if i is not None and v is not None and i != qi and len(v) == len(qv))[:k]
         out += [(qi, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     return sorted(out)
@@ -47,7 +47,7 @@ def brute_topk(vectors, queries_, k):
 
 def test_topk_odd_vectors_and_ties(spark):
     r = [(i, [((i * 7 + d * 3) % 11 - 5) / 4 for d in range(6)]) for i in range(200)]
-    r += [(300, None), (301, []), (302, [1.0, None, 1, 1, 1, 1.0]), (303, [float("nan")] * 6), (304, [float("inf")] * 6),
+    r += [(300, None), (301, []), (302, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (303, [float("nan")] * 6), (304, [float("inf")] * 6),
           (None, [1.0] * 6), (305, [2.0, 1.0]), (306, [9e11] * 6), (307, [-9e11] * 6), (5, [0.25] * 6)]
     v = spark.createDataFrame(r, "vec_id long, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS score")
     q = v.where("vec_id % 50 = 0 OR vec_id > 300")

@@ -39,7 +39,7 @@ def license_base(text):
 
 LICENCES = [
     "Under the MIT License.", "x under, the (MIT) license under the mit license", "apache license version 2 cc-by nc 4",
-    "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause and more prose follows here",
+    "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause, and more prose follows here",
     "SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0", "SPDX-License-Identifier: OR )(",
     "spdx license identifier", "Cc By Nc " * 3, "undér the mit license",
 ]
