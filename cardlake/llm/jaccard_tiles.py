@@ -244,6 +244,23 @@ def postings(docs: DataFrame, size: int, percent: int, common: list[int]) -> Dat
 _MEET = pa.schema([("tile", pa.int64()), ("sid", pa.int64())])
 
 
+def meetings(n: np.ndarray, percent: int, block: int) -> list[np.ndarray]:
+    """Positions that meet, in tiles of at most two blocks, so that any two sets in reach of each other
+    share a tile. ``n`` holds the set sizes of one shingle's classes, ascending."""
+    if len(n) <= 2 * block:
+        return [np.arange(len(n))] if len(n) > 1 else []
+    cuts = [np.arange(x, min(x + block, len(n))) for x in range(0, len(n), block)]
+    out, met = [], np.zeros(len(cuts), dtype=bool)
+    for i, low in enumerate(cuts):
+        for j in range(i + 1, len(cuts)):
+            if percent * n[cuts[j][0]] > 100 * n[low[-1]]:
+                break  # sizes ascend: the later blocks are out of reach too
+            out.append(np.concatenate([low, cuts[j]]))
+            met[i] = met[j] = True
+    # a block without a partner in reach still meets itself
+    return out + [c for c, known in zip(cuts, met) if not known and len(c) > 1]
+
+
 def tiles(posted: DataFrame, percent: int, buckets: int, block: int) -> DataFrame:
     """``tile, sid``: the classes that meet by a shingle, in tiles of at most two blocks."""
 
@@ -263,15 +280,8 @@ def tiles(posted: DataFrame, percent: int, buckets: int, block: int) -> DataFram
         for a, b in zip(edge.tolist(), np.r_[edge[1:], len(s)].tolist()):
             if b - a < 2:
                 continue
-            if b - a <= 2 * block:
-                if 100 * n[a + 1: b].min() >= percent * n[a] or (100 * n[a: b - 1] >= percent * n[a + 1: b]).any():
-                    add(sid[a:b])
-                continue
-            cuts = [(x, min(x + block, b)) for x in range(a, b, block)]
-            for i, (x, y) in enumerate(cuts):
-                for p, q in cuts[i + 1:]:
-                    if percent * n[p] <= 100 * n[y - 1]:
-                        add(np.concatenate([sid[x:y], sid[p:q]]))
+            for members in meetings(n[a:b], percent, block):
+                add(sid[a:b][members])
         lens = [len(m) for m in out.values()]
         return pa.Table.from_arrays([
             pa.array(np.repeat(np.fromiter(out, dtype=np.int64, count=len(out)), lens)),

@@ -153,6 +153,18 @@ def test_bitmap_bound_never_misses():
     assert exact == true
 
 
+@pytest.mark.parametrize("sizes", [[10] * 4 + [100] * 5, [5, 9, 9, 9, 30, 31, 32, 90, 400], [7] * 11, list(range(1, 40))])
+@pytest.mark.parametrize("block", [2, 3, 4])
+def test_all_sizes_in_reach_meet(sizes, block):
+    n = np.array(sizes)
+    tiles = [set(m.tolist()) for m in JT.meetings(n, 80, block)]
+    assert all(len(t) <= 2 * block for t in tiles)
+    for i in range(len(n)):
+        for j in range(i + 1, len(n)):
+            if 100 * n[i] >= 80 * n[j]:
+                assert any(i in t and j in t for t in tiles), (i, j)
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)]
