@@ -16,9 +16,10 @@
    intersection. A tile returns per class the weight of its links and one tie to its
    linked classes; connected components of those ties are the result.
 
-No pair list leaves a tile, and no tile or group grows beyond its block size. The only
-broadcast is the list of most frequent shingles, at most ``COMMON_SHINGLES`` numbers; it
-steers cost, never results.
+No pair list leaves a tile, and no tile or group grows beyond its block size. Two things are
+broadcast: the list of most frequent shingles, at most ``COMMON_SHINGLES`` numbers, which
+steers cost, never results; and the results of the classes with very many copies, of which
+there are fewer than ``HOT_PARTS`` for each shuffle partition.
 
 Defined results: a text without words or a null text has an empty set and is linked with
 nothing (its component is itself); fewer than five words are one shingle. A row with a null
@@ -46,6 +47,7 @@ WORDS = 5
 PERCENT = 80
 BLOCK = 512
 COMMON_SHINGLES = 1 << 17
+HOT_PARTS = 4
 COMMON_FROM = 64  # classes that make a shingle common
 _LOCALLY_COMMON = 4
 _FLUSH = 1_000_000
@@ -386,6 +388,18 @@ def verified(docs: DataFrame, groups: DataFrame, classes: DataFrame, size: int,
         "tile").applyInArrow(run, "digest binary, tie binary, links long")
 
 
+def with_class(placed: DataFrame, known: DataFrame) -> DataFrame:
+    """Every document with the columns of its class. Classes that hold more than one in ``HOT_PARTS``
+    of a partition's share of the documents are broadcast (there are fewer than partitions times
+    ``HOT_PARTS``), so the shuffled join meets no digest of many documents."""
+    most = HOT_PARTS * parallelism(placed.sparkSession)
+    is_hot = F.col("copies") * F.lit(most) > F.lit(placed.count())
+    hot, cold = known.where(is_hot), known.where(~is_hot)
+    same = F.col("digest") == F.col("key")
+    rest = placed.join(F.broadcast(hot.select("key")), same, "left_anti")
+    return placed.join(F.broadcast(hot), same).unionByName(rest.join(cold, same))
+
+
 def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, block: int = BLOCK,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links, n_copies, group_key, text_key`` for every input row.
@@ -421,7 +435,7 @@ def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, blo
         F.coalesce("component", "digest").alias("group_key"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     has_class = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    out = sets.select("doc_id", "n", "digest", "text_key").where(has_class).join(known, F.col("digest") == F.col("key")).select(
+    out = with_class(sets.select("doc_id", "n", "digest", "text_key").where(has_class), written(known, "class-results")).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", F.col("copies").alias("n_copies"),
         "group_key", "text_key")
     alone = sets.where(~has_class).select(
