@@ -4,10 +4,11 @@
 smallest one in a total order over all non-key columns (column order, NULLs
 first, ascending), so every run and every partitioning gives the same table.
 
-It is written as ``min(struct(...))`` per key rather than as a
-``row_number()`` window: the aggregate runs partially on the map side, so a
-hot key (even one holding a third of all rows, or all-NULL keys) is reduced to
-one row per map task before the shuffle instead of landing whole in one task.
+It is written as ``min(struct(...))`` per key: the aggregate runs partially on the
+map side, so a hot key (even one holding a third of all rows, or all-NULL keys) is
+reduced to one row per map task before the shuffle. A ``row_number() = 1`` window is
+limited per key on the map side as well and gives the same rows; the two took the same
+time within noise (README, Measured).
 """
 
 from __future__ import annotations

@@ -157,7 +157,7 @@ def fraud_investigation(gold: dict[str, DataFrame], bands: tuple[str, ...] = (HI
     built from the same silver rows, and the canonical fraud table carries the
     transaction columns, so the 1:1 fact-to-fact join is not materialised. The
     band filter is a left-semi join on customer id (no columns needed from it);
-    AQE splits a skewed customer on that join. transaction_id is unique, so
+    as gold tables are not bucketed, AQE splits a skewed customer on that join. transaction_id is unique, so
     rows are already distinct.
     """
     f = gold["fraud_monitoring"].filter(F.col("is_fraud") == 1)
