@@ -9,7 +9,8 @@ such answers are remembered.
 
 The tokenizer file (JSON: BPE with word-end suffix, byte-level characters, lower case,
 white space dropped) is a parameter; its text goes to the executors inside the task
-closure (1.7 MB for the production file).
+closure (1.7 MB for the production file). Characters newer than Python's own Unicode
+tables are normalised and split by the tokenizers library, whose tables may know them.
 
 Defined results: a null or blank text has no tokens and decodes to the empty string.
 Strings of the file's special tokens in a text become those tokens, as in the
@@ -29,6 +30,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,7 @@ class TrieBPE:
     def __init__(self, spec: str):
         data = json.loads(spec)
         model = data["model"]
+        self.spec, self.library = spec, None
         self.end = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
@@ -206,12 +209,20 @@ class TrieBPE:
             if part.isalpha():
                 return [part]
             return self.pieces.findall(part)
+        if not part.isprintable() and any(unicodedata.category(c) == "Cn" for c in part):
+            return self._unknown_to_python(part)
         part = unicodedata.normalize("NFC", part)
         part = "".join(map(str.lower, part)) if "Σ" in part else part.lower()
         alphabet = self.alphabet
         return ["".join([alphabet[b] for b in piece.encode("utf-8", "surrogatepass")])
                 for piece in self.pieces.findall(part)]
 
+    def _unknown_to_python(self, part: str) -> list[str]:
+        if self.library is None:
+            self.library = tokenizers.Tokenizer.from_str(self.spec)
+        split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+        return [piece for piece, _ in split]
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         chunks = [(_CHUNK.findall(t) if _CONTROL_SPACE.search(t) else t.split()) if t else [] for t in texts]

@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("encoding", encoding_stage),
 ]
 
-#: SQL cannot fit the quality model; tests/llm/test_pipeline.py holds the stages against plain Python.
+#: SQL cannot fit the quality model; tests/llm/test_quality_quotes_pipeline.py holds the stages against plain Python.
 ORACLE_SQL = None
 
 

@@ -99,7 +99,7 @@ def test_ngram_coverage_equals_brute_force(spark):
 
 
 BPE_TEXTS = ["a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|>", "don't I'LL we're it'S 's", "ΑΣ ΟΔΟΣ", "é ́a", "x" * 500,
-             "!" * 300, "\x00\x7f\x1c a", "  \xa0　x"]
+             "!" * 300, "a\u1c89b \ua7ceb x\U00016ea0y <|endoftext|>\U000125a3z", "\x00\x7f\x1c a", "  \xa0　x"]
 
 
 def test_bpe_equals_the_library_and_round_trips(spark):
