@@ -5,7 +5,9 @@ prefix plus one last token. So a trie node needs only its last token: the token
 ends there and may follow the last token of the node where it starts. Walking the trie
 depth-first computes that once per node, however many words share the prefix. A token
 pair may stand side by side when merging their characters anew yields the same pair;
-such answers are remembered.
+such answers are remembered. A node also knows where its last token starts; the ids of a
+word are read off once, backwards from its end. Words of more than ``TRIE_CHARACTERS``
+share no trie: each is walked alone and held as two numbers a character.
 
 The tokenizer file (JSON: BPE with word-end suffix, byte-level characters, lower case,
 white space dropped) is a parameter; its text goes to the executors inside the task
@@ -24,7 +26,8 @@ import gc
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,6 +41,10 @@ from cardlake.llm.tables import python_tasks
 
 #: Distinct pieces a worker remembers between batches; beyond it the memory starts anew.
 REMEMBERED_PIECES = 150_000
+#: The same for the characters of these pieces.
+REMEMBERED_CHARACTERS = 20_000_000
+#: Longer words are walked alone.
+TRIE_CHARACTERS = 1_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = regex.compile(f"[^{_SPACE}]+")
@@ -66,6 +73,7 @@ class TrieBPE:
                      for r, m in enumerate(model["merges"])}
         names = {i: t for t, i in chain(self.vocab.items(), self.special.items())}
         self.names = [names.get(i) for i in range(max(names) + 1)]
+        self.raw = [i.to_bytes(4, "little") for i in range(len(self.names))]
         self.alphabet = byte_characters()
         split = next(p["pattern"]["Regex"] for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split.replace(r"\s", _SPACE), regex.V1)
@@ -84,6 +92,7 @@ class TrieBPE:
         self.pairs: dict[int, bool] = {}
         self.coded: dict[str, bytes] = {}
         self.remembered: dict[str, bytes] = {}
+        self.held = 0  # characters of the remembered pieces
 
     # -- judging tokens and token pairs by the merge ranks
     def symbols(self, token: str) -> list[str]:
@@ -141,22 +150,11 @@ class TrieBPE:
         return known
 
     # -- the trie
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
-        """Ids (little-endian unsigned 32-bit) of each word, written in byte characters."""
-        root: dict = {}
-        for w in words:
-            node = root
-            for c in w:
-                node = node.setdefault(c, {})
-            node[""] = w
-        out: dict[str, bytes] = {}
-        # by depth on the current path: last token, ids, and the vocabulary nodes that end there
-        last: list[int] = [-1]
-        ids: list[bytes] = [b""]
-        open_at: list[list[tuple[int, dict]]] = [[]]
-        alone, pairs, width, tokens = self.alone, self.pairs, len(self.names), self.tokens
+    def chooser(self) -> Callable[[list[tuple[int, dict]], str, list[int] | array], tuple[int, int]]:
+        """Of the vocabulary nodes that end at a node, the token that does, and the depth where it starts."""
+        alone, pairs, width = self.alone, self.pairs, len(self.names)
 
-        def ending(at: list[tuple[int, dict]], form: str) -> tuple[int, int]:
+        def ending(at: list[tuple[int, dict]], form: str, last: list[int] | array) -> tuple[int, int]:
             for start, place in at:
                 i = place.get(form)
                 if i is not None and (alone[i] if i in alone else self.stands_alone(i)):
@@ -168,22 +166,68 @@ class TrieBPE:
                         return start, i
             raise ValueError("the vocabulary does not cover this word")
 
+        return ending
+
+    def path_ids(self, start: int, i: int, last: list[int] | array, begin: list[int] | array) -> bytes:
+        """Ids of a word that ends in token ``i`` from depth ``start`` on."""
+        raw = self.raw
+        if not start:
+            return raw[i]
+        ids = [raw[i]]
+        while start:
+            ids.append(raw[last[start]])
+            start = begin[start]
+        ids.reverse()
+        return b"".join(ids)
+
+    def encode_long(self, word: str) -> bytes:
+        """Ids of one word, walked without a trie."""
+        last, begin, tokens, ending = array("i", [-1]), array("i", [0]), self.tokens, self.chooser()
+        here: list[tuple[int, dict]] = []
+        for depth, char in enumerate(word):
+            here = [(start, place[char]) for start, place in here if char in place]
+            if char in tokens:
+                here.append((depth, tokens[char]))
+            if depth == len(word) - 1:
+                break
+            start, i = ending(here, "", last)
+            last.append(i)
+            begin.append(start)
+        return self.path_ids(*ending(here, "$$", last), last, begin)
+
+    def encode_words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids (little-endian unsigned 32-bit) of each word, written in byte characters."""
+        root: dict = {}
+        out: dict[str, bytes] = {}
+        for w in words:
+            if len(w) > TRIE_CHARACTERS:
+                out[w] = self.encode_long(w)
+                continue
+            node = root
+            for c in w:
+                node = node.setdefault(c, {})
+            node[""] = w
+        # by depth on the current path: last token, its start, and the vocabulary nodes that end there
+        last: list[int] = [-1]
+        begin: list[int] = [0]
+        open_at: list[list[tuple[int, dict]]] = [[]]
+        tokens, ending = self.tokens, self.chooser()
+
         stack = [(1, c, child) for c, child in root.items() if c]
         while stack:
             depth, char, node = stack.pop()
-            del last[depth:], ids[depth:], open_at[depth:]
+            del last[depth:], begin[depth:], open_at[depth:]
             here = [(start, place[char]) for start, place in open_at[depth - 1] if char in place]
             if char in tokens:
                 here.append((depth - 1, tokens[char]))
             word = node.get("")
             if word is not None:
-                start, i = ending(here, "$$")
-                out[word] = ids[start] + i.to_bytes(4, "little")
+                out[word] = self.path_ids(*ending(here, "$$", last), last, begin)
                 if len(node) == 1:
                     continue
-            start, i = ending(here, "")
+            start, i = ending(here, "", last)
             last.append(i)
-            ids.append(ids[start] + i.to_bytes(4, "little"))
+            begin.append(start)
             open_at.append(here)
             depth += 1
             for c, child in node.items():
@@ -226,11 +270,13 @@ class TrieBPE:
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         chunks = [(_CHUNK.findall(t) if _CONTROL_SPACE.search(t) else t.split()) if t else [] for t in texts]
-        if len(self.remembered) > REMEMBERED_PIECES or len(self.coded) > REMEMBERED_PIECES:
-            self.remembered, self.coded = {}, {}
+        if (len(self.remembered) > REMEMBERED_PIECES or len(self.coded) > REMEMBERED_PIECES
+                or self.held > REMEMBERED_CHARACTERS):
+            self.remembered, self.coded, self.held = {}, {}, 0
         known, coded = self.remembered, self.coded
         fresh = set().union(*chunks).difference(known)
         if fresh:
+            self.held += sum(map(len, fresh))
             gc.disable()  # tries hold no cycles; collecting amid their growth only costs time
             parts = {c: self.chunk_pieces(c) for c in fresh}
             coded.update(self.encode_words({p for ps in parts.values() for p in ps

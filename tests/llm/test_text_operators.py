@@ -2,14 +2,16 @@
 
 import collections
 import hashlib
+import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from cardlake.llm import license_scan as LS
 from cardlake.llm import repetition as RP
-from cardlake.llm.bpe_trie import bpe_decode, bpe_digests, bpe_encode
+from cardlake.llm.bpe_trie import TrieBPE, bpe_decode, bpe_digests, bpe_encode
 from cardlake.llm.queries import queries, tokenizer_path
 from cardlake.llm.tables import table
 
@@ -123,6 +125,22 @@ def test_bpe_equals_the_library_and_round_trips(spark):
             hashlib.sha256(back.encode()).hexdigest())
 
 
+def test_bpe_long_runs_without_blanks():
+    from tokenizers import Tokenizer
+
+    spec = open(tokenizer_path(), encoding="utf-8").read()
+    lib, bpe, r = Tokenizer.from_str(spec), TrieBPE(spec), random.Random(4)
+    runs = ["".join(r.choices("acgt", k=300_000)), "".join(r.choices("中文字不空格ไทย", k=100_000)),
+            "internationalisation" * 15_000, "x" * 1_000 + "y", "ab" * 500, "".join(r.choices("eta oinshr", k=5_000))]
+    tracemalloc.start()
+    got = bpe.encode_batch(runs)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for text, ids in zip(runs, got):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text[:30]
+    assert most < 200e6
+
+
 @pytest.mark.parametrize("op", [LS.license_scan, RP.repetition_rules, lambda d: bpe_digests(d, tokenizer_path())])
 def test_empty_table(spark, op):
     assert op(documents(spark, [])).collect() == []
