@@ -5,8 +5,9 @@
 2. Two sets that reach the threshold share a shingle among the first ``n - ceil(t n) + 1``
    of each, in any fixed order of all shingles. The order here is by hash, with the
    shingles found in the most classes last, so that passages shared by many documents rarely
-   lead to a meeting. Classes that share such a shingle form a tile; equal tiles count once
-   and large ones are cut into blocks by set size, which only meet blocks in reach.
+   lead to a meeting. Classes that share such a shingle form a tile; equal tiles count once.
+   The classes of a long list are numbered by set size on Spark and cut into blocks, which
+   only meet blocks in reach.
 3. In a tile, bitmap signatures (2 to 4 bits per shingle, ``hash mod width``) are compared:
    every differing bit is a shingle that only one set has, so bit counts bound the
    overlap from above. Pairs that fail the bound are no links. Passing pairs only tie
@@ -16,7 +17,10 @@
    intersection. A tile returns per class the weight of its links and one tie to its
    linked classes; connected components of those ties are the result.
 
-No pair list leaves a tile, and no tile or group grows beyond its block size. Two things are
+No pair list leaves a tile. A tile of step 2 holds two blocks at most, and the task that reads the
+shingles' lists holds no more of one list than that; the tiles of step 4 hold two blocks dealt by
+hash, so about that many. The rows of a tile table still grow with the square of a long list over
+the block size, on Spark's disk. Two things are
 broadcast: the list of most frequent shingles, at most ``COMMON_SHINGLES`` numbers, which
 steers cost, never results; and the results of the classes with very many copies, of which
 there are fewer than ``HOT_PARTS`` for each shuffle partition.
@@ -51,6 +55,8 @@ HOT_PARTS = 4
 COMMON_FROM = 64  # classes that make a shingle common
 _LOCALLY_COMMON = 4
 _FLUSH = 1_000_000
+_SPREAD = 4096
+_CHUNK_ROWS = 100_000
 
 _SETS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
                    ("bitmap", pa.binary()), ("text_key", pa.int64())])
@@ -212,8 +218,10 @@ def prefix(h: np.ndarray, percent: int, common: np.ndarray, rank: np.ndarray) ->
     return h[:keep]
 
 
-def postings(docs: DataFrame, size: int, percent: int, common: list[int]) -> DataFrame:
-    """``bucket, shingle, sid, n`` for the prefix of each class; ``sid`` is the digest's first half."""
+def postings(docs: DataFrame, size: int, percent: int, common: list[int], n_long: int) -> DataFrame:
+    """``shingle, sid, n, spread`` for the prefix of each class; ``sid`` is the digest's first half. The
+    first ``n_long`` shingles of ``common`` have long lists: their ``spread`` is dealt by ``sid`` from 1 on,
+    so that no task gets a whole list; it is 0 elsewhere."""
     # most frequent first in ``common``; the order puts them last, the most frequent at the very end
     values = np.array(common, dtype=np.int64).view(np.uint64)
     order = np.argsort(values)
@@ -221,9 +229,10 @@ def postings(docs: DataFrame, size: int, percent: int, common: list[int]) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, rank = known.value
+        listed = hot[rank > len(hot) - n_long]
         for b in batches:
             seen: set[bytes] = set()
-            s, d, n = [], [], []
+            s, d, n, spread = [], [], [], []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = shingles(text, size)
                 if doc_id is None or not len(h):
@@ -236,14 +245,13 @@ def postings(docs: DataFrame, size: int, percent: int, common: list[int]) -> Dat
                 s.append(p.view(np.int64))
                 d.append(np.full(len(p), int.from_bytes(key[:8], "big", signed=True), dtype=np.int64))
                 n.append(np.full(len(p), len(h), dtype=np.int64))
+                far = np.isin(p, listed) if len(listed) else np.zeros(len(p), dtype=bool)
+                spread.append(np.where(far, 1 + d[-1] % _SPREAD, 0))
             if s:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (s, d, n)], names=["shingle", "sid", "n"])
+                    [pa.array(np.concatenate(x)) for x in (s, d, n, spread)], names=["shingle", "sid", "n", "spread"])
 
-    return docs.mapInArrow(run, "shingle long, sid long, n long")
-
-
-_MEET = pa.schema([("tile", pa.int64()), ("sid", pa.int64())])
+    return docs.mapInArrow(run, "shingle long, sid long, n long, spread long")
 
 
 def meetings(n: np.ndarray, percent: int, block: int) -> list[np.ndarray]:
@@ -263,34 +271,120 @@ def meetings(n: np.ndarray, percent: int, block: int) -> list[np.ndarray]:
     return out + [c for c, known in zip(cuts, met) if not known and len(c) > 1]
 
 
+_LISTS = pa.schema([("tile", pa.int64()), ("shingle", pa.int64()), ("sid", pa.int64()), ("n", pa.int64())])
+
+
+def read_lists(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by ``shingle, spread, sid``: ``tile, sid`` of the lists of 2 to ``most`` classes,
+    and with a null tile the distinct rows of longer lists and of those with a ``spread``. Holds
+    one chunk of rows and, of the list that goes on behind it, ``most`` rows at most."""
+    left: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 4
+    streaming = None  # the long list whose rows go through as they come, and its last class
+    tiles_seen: set[int] = set()
+
+    def take(rows: list[np.ndarray], over: bool) -> pa.RecordBatch:
+        nonlocal left, streaming
+        s, sid, n, spread = rows
+        fresh = np.r_[True, (s[1:] != s[:-1]) | (sid[1:] != sid[:-1])][: len(s)]
+        s, sid, n, spread = (x[fresh] for x in (s, sid, n, spread))
+        if streaming is not None and len(s) and (s[0], sid[0]) == streaming:
+            s, sid, n, spread = (x[1:] for x in (s, sid, n, spread))
+        start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]][: len(s)])
+        stop = np.r_[start[1:], len(s)][: len(start)]
+        count = stop - start
+        long = (count > most) | (spread[start] > 0)
+        if streaming is not None and len(s):
+            long[0] |= s[0] == streaming[0]
+        end = len(s)
+        if len(s) and not over and not long[-1]:
+            end = int(start[-1])  # the last list may go on
+            start, stop, count, long = (x[:-1] for x in (start, stop, count, long))
+        if end:
+            streaming = (s[end - 1], sid[end - 1]) if long[-1] else None
+        left = [x[end:] for x in (s, sid, n, spread)]
+        names, members = [], []
+        for a, b in zip(start[~long & (count > 1)].tolist(), stop[~long & (count > 1)].tolist()):
+            key = int.from_bytes(hashlib.blake2b(sid[a:b].tobytes(), digest_size=8).digest(), "little", signed=True)
+            if key not in tiles_seen:
+                tiles_seen.add(key)
+                names.append(key)
+                members.append(sid[a:b])
+        if len(tiles_seen) > _CHUNK_ROWS:
+            tiles_seen.clear()  # what comes twice is dropped later
+        raw = np.repeat(long, count)
+        s, sid, n = s[:end][raw], sid[:end][raw], n[:end][raw]
+        met = np.concatenate([np.zeros(0, dtype=np.int64), *members])
+        none = pa.nulls(len(met), pa.int64())
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([pa.array(np.repeat(np.array(names, dtype=np.int64), [len(m) for m in members])),
+                              pa.nulls(len(s), pa.int64())]),
+            pa.concat_arrays([none, pa.array(s)]), pa.array(np.concatenate([met, sid])),
+            pa.concat_arrays([none, pa.array(n)])], schema=_LISTS)
+
+    waiting: list[list[np.ndarray]] = []
+    held = 0
+    for b in batches:
+        waiting.append([b.column(k).to_numpy() for k in ("shingle", "sid", "n", "spread")])
+        held += b.num_rows
+        if held >= _CHUNK_ROWS:
+            yield take([np.concatenate(x) for x in zip(left, *waiting)], False)
+            waiting, held = [], 0
+    yield take([np.concatenate(x) for x in zip(left, *waiting)], True)
+
+
+def long_tiles(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """``tile, sid`` for the long lists (``shingle, sid, n``, distinct), by the rule of ``meetings``: the
+    classes of a list are numbered by set size and cut into blocks, and the blocks in reach of each
+    other are tiles. Only tables of blocks are kept per list, and no task needs a whole list."""
+    spark = rows.sparkSession
+    order = ("shingle", "n", "sid")
+    # ids ascend within a range and from one range to the next
+    dealt = written(rows.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order).withColumn(
+        "at", F.monotonically_increasing_id()).withColumn("stretch", F.shiftright("at", 33)), "long-lists")
+    before = Window.partitionBy("shingle").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("shingle", "stretch").agg(F.min("at").alias("first"), F.count("*").alias("c")).withColumn(
+        "offset", F.coalesce(F.sum("c").over(before), F.lit(0)) - F.col("first")).drop("first", "c")
+    placed = written(dealt.join(starts, ["shingle", "stretch"]).select(
+        "shingle", "sid", "n", F.floor((F.col("at") + F.col("offset")) / F.lit(block)).cast("long").alias("block")),
+        "long-blocks")
+    # ``members`` names a block by its classes, so that equal blocks of several lists count once
+    blocks = written(placed.groupBy("shingle", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("top"), F.count("*").alias("c"),
+        F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y")).withColumn(
+        "members", F.xxhash64("x", "y", "c")).drop("x", "y"), "long-block-list")
+    # the last block in reach of a block: sizes ascend, so it is a count of the lows up to its top
+    lows = blocks.select("shingle", "block", (F.col("low") * percent).alias("size"), F.lit(0).alias("is_top"))
+    tops = blocks.select("shingle", "block", (F.col("top") * 100).alias("size"), F.lit(1).alias("is_top"))
+    upto = Window.partitionBy("shingle").orderBy("size", "is_top", "block").rowsBetween(Window.unboundedPreceding, 0)
+    reach = lows.unionByName(tops).withColumn("last", F.sum(1 - F.col("is_top")).over(upto) - 1).where(
+        "is_top = 1").select("shingle", "block", "last")
+    met_before = F.coalesce(F.lag("last").over(Window.partitionBy("shingle").orderBy("block")), F.lit(-1))
+    reach = reach.withColumn("alone", (F.col("last") == F.col("block")) & (met_before < F.col("block")))
+    # a block without a partner in reach still meets itself
+    others = F.when(F.col("last") > F.col("block"), F.sequence(F.col("block") + 1, F.col("last"))).when(
+        F.col("alone"), F.array("block"))
+    pairs = reach.select("shingle", "block", F.explode(others).alias("other"))
+    a = blocks.select("shingle", "block", F.col("members").alias("a"), F.col("c").alias("n_a"))
+    b = blocks.select("shingle", F.col("block").alias("other"), F.col("members").alias("b"))
+    named = pairs.join(a, ["shingle", "block"]).join(b, ["shingle", "other"]).where("a <> b OR n_a > 1").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sides = named.select(F.xxhash64("a", "b").alias("tile"), F.explode(F.array_distinct(F.array("a", "b"))).alias("members"))
+    once = blocks.groupBy("members").agg(F.min(F.struct("shingle", "block")).alias("k")).select("members", "k.*")
+    return sides.join(placed.join(once, ["shingle", "block"]).select("members", "sid"), "members").select("tile", "sid")
+
+
 def tiles(posted: DataFrame, percent: int, buckets: int, block: int) -> DataFrame:
     """``tile, sid``: the classes that meet by a shingle, in tiles of at most two blocks."""
+    most = 2 * block
 
-    def run(table: pa.Table) -> pa.Table:
-        s, sid, n = (table.column(c).to_numpy() for c in ("shingle", "sid", "n"))
-        order = np.lexsort((sid, n, s))
-        s, sid, n = s[order], sid[order], n[order]
-        fresh = np.r_[True, (s[1:] != s[:-1]) | (sid[1:] != sid[:-1])] if len(s) else np.zeros(0, dtype=bool)
-        s, sid, n = s[fresh], sid[fresh], n[fresh]
-        edge = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.zeros(0, dtype=np.int64)
-        out: dict[int, np.ndarray] = {}
-
-        def add(members: np.ndarray) -> None:
-            key = hashlib.blake2b(np.sort(members).tobytes(), digest_size=8).digest()
-            out[int.from_bytes(key, "little", signed=True)] = members
-
-        for a, b in zip(edge.tolist(), np.r_[edge[1:], len(s)].tolist()):
-            if b - a < 2:
-                continue
-            for members in meetings(n[a:b], percent, block):
-                add(sid[a:b][members])
-        lens = [len(m) for m in out.values()]
-        return pa.Table.from_arrays([
-            pa.array(np.repeat(np.fromiter(out, dtype=np.int64, count=len(out)), lens)),
-            pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *out.values()]))], schema=_MEET)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from read_lists(batches, most)
 
-    dealt = posted.withColumn("bucket", F.pmod(F.xxhash64("shingle"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(run, "tile long, sid long").distinct()
+    dealt = posted.repartition(buckets, "shingle", "spread").sortWithinPartitions("shingle", "spread", "sid")
+    lists = written(dealt.mapInArrow(run, "tile long, shingle long, sid long, n long"), "shingle-lists")
+    short = lists.where("tile IS NOT NULL").select("tile", "sid").distinct()
+    rows = lists.where("tile IS NULL").select("shingle", "sid", "n")
+    return short if rows.isEmpty() else short.unionByName(long_tiles(rows, percent, block))
 
 
 _TIE = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -410,8 +504,10 @@ def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, blo
     python_tasks(spark)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(set_rows(named.withColumn("text_key", F.xxhash64("text")), size), "shingle-sets")
-    common = [r[0] for r in rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "doc_id").limit(COMMON_SHINGLES).collect()]
+    known_common = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "doc_id").limit(COMMON_SHINGLES).collect()
+    common = [r[0] for r in known_common]
+    n_long = sum(r[1] > 2 * block for r in known_common)
     sets = rows.where("kind = 0").drop("kind")
     classes = sets.where("doc_id IS NOT NULL AND n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n").alias("n"),
@@ -419,7 +515,7 @@ def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, blo
     half = F.substring("digest", 1, 8)
     classes = written(classes.withColumn("sid", F.conv(F.hex(half), 16, -10).cast("long")), "shingle-classes")
 
-    met = tiles(postings(named, size, percent, common), percent, 4 * parallelism(spark), block)
+    met = tiles(postings(named, size, percent, common, n_long), percent, 4 * parallelism(spark), block)
     groups = components(candidate_ties(met, classes, percent))
     links = written(verified(named, groups, classes, size, percent, block), "shingle-links")
     per_class = links.groupBy("digest").agg(F.sum("links").alias("links"))

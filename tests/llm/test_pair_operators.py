@@ -165,6 +165,52 @@ def test_all_sizes_in_reach_meet(sizes, block):
                 assert any(i in t and j in t for t in tiles), (i, j)
 
 
+def posted_lists(seed):
+    """Rows (shingle, sid, n, spread): lists of 1 to 60 classes, two lists equal, rows repeated."""
+    r = random.Random(seed)
+    size = {sid: r.randrange(10, 40) for sid in range(-40, 60)}
+    lists = {k: r.sample(sorted(size), r.choice([1, 2, 7, 8, 9, 30, 60])) for k in range(-20, 20)}
+    lists[99] = lists[98] = sorted(size)
+    return size, lists, [(k, x, size[x], (1 + x % 3) * (k % 5 == 0)) for k, v in lists.items() for x in v + v[:3]]
+
+
+def test_long_lists_are_cut_on_spark(spark, monkeypatch):
+    size, lists, posted = posted_lists(6)
+    monkeypatch.setattr(JT, "meetings", None)
+    got = {}
+    for t, sid in JT.tiles(spark.createDataFrame(posted, "shingle long, sid long, n long, spread long"), 80, 3, 4).collect():
+        got.setdefault(t, []).append(sid)
+    assert all(2 <= len(t) <= 8 and len(set(t)) == len(t) for t in got.values())
+    assert len({frozenset(t) for t in got.values()}) == len(got)
+    met = {(a, b) for t in got.values() for a in t for b in t}
+    for v in lists.values():
+        assert all((a, b) in met for a in v for b in v if a != b and 100 * size[a] >= 80 * size[b] >= 80 * size[a])
+    together = {(a, b) for v in lists.values() for a in v for b in v}
+    assert met <= together
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 1000])
+def test_a_long_list_is_never_held(monkeypatch, chunk):
+    import pyarrow as pa
+
+    monkeypatch.setattr(JT, "_CHUNK_ROWS", chunk)
+    _, lists, posted = posted_lists(7)
+    cols = list(zip(*sorted((s, spread, x, n) for s, x, n, spread in posted)))
+    table_ = pa.table(dict(zip(("shingle", "spread", "sid", "n"), map(list, cols))))
+    out = list(JT.read_lists(iter(table_.to_batches(max_chunksize=3)), 8))
+    assert chunk == 1000 or max(b.num_rows for b in out) <= 8 + chunk + 3
+    rows_ = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    dealt = {k for k in lists if k % 5 == 0}
+    assert sorted((s, x) for t, s, x, _ in rows_ if t is None) == sorted(
+        (k, x) for k, v in lists.items() if len(v) > 8 or k in dealt for x in v)
+    short = {}
+    for t, _, x, _ in rows_:
+        short.setdefault(t, set()).add(x)
+    short.pop(None)
+    assert {frozenset(t) for t in short.values()} == {
+        frozenset(v) for k, v in lists.items() if 1 < len(v) <= 8 and k not in dealt}
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)]
