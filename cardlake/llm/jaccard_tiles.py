@@ -409,12 +409,19 @@ def candidate_ties(met: DataFrame, classes: DataFrame, percent: int) -> DataFram
 _LINK = pa.schema([("digest", pa.binary()), ("tie", pa.binary()), ("links", pa.int64())])
 
 
+def class_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``digest, text``: the text of one document of each class, found by id and text key, so that an id
+    repeated over many texts brings no others."""
+    wanted = members.select(F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key"), "digest")
+    return docs.join(wanted, ["doc_id", "text_key"]).select("digest", "text")
+
+
 def verified(docs: DataFrame, groups: DataFrame, classes: DataFrame, size: int, percent: int,
              block: int) -> DataFrame:
     """``digest, tie, links`` of the classes with links, from the tiles of candidate groups."""
     ratio = math.log(100 / percent)
     members = groups.join(classes, groups.node == classes.digest).select(
-        "component", "digest", "rep", "copies", F.floor(F.log(F.col("n")) / F.lit(ratio)).cast("int").alias("band"))
+        "component", "digest", "rep", "rep_key", "copies", F.floor(F.log(F.col("n")) / F.lit(ratio)).cast("int").alias("band"))
     # blocks per band of a group; bands are at most a few hundred, whatever the group's size
     blocks = members.groupBy("component", "band").agg(
         F.ceil(F.count("*") / F.lit(block)).cast("int").alias("k")).groupBy("component").agg(
@@ -444,15 +451,14 @@ def verified(docs: DataFrame, groups: DataFrame, classes: DataFrame, size: int,
         "digest", "rep", "copies", F.xxhash64("component", "t.band", "t.i", "t.j", "t.step").alias("tile"),
         F.col("t.side").alias("side"))
     # a tile of one class alone compares nothing
-    wanted = members.select("digest", "rep")
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id"), "digest"), "doc_id").select("digest", "text")
+    texts = class_texts(docs, members)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sets = [], []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = shingles(text, size)
-                if len(h) and digest(h) == key:  # a repeated doc_id may bring another text
+                if len(h) and digest(h) == key:  # two texts may share a text key
                     keys.append(key)
                     sets.append(h.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())],
@@ -503,21 +509,23 @@ def jaccard_join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, blo
     spark = docs.sparkSession
     python_tasks(spark)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(set_rows(named.withColumn("text_key", F.xxhash64("text")), size), "shingle-sets")
+    keyed = named.withColumn("text_key", F.xxhash64("text"))
+    rows = written(set_rows(keyed, size), "shingle-sets")
     known_common = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(
         F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "doc_id").limit(COMMON_SHINGLES).collect()
     common = [r[0] for r in known_common]
     n_long = sum(r[1] > 2 * block for r in known_common)
     sets = rows.where("kind = 0").drop("kind")
     classes = sets.where("doc_id IS NOT NULL AND n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n").alias("n"),
-        F.min("bitmap").alias("bitmap"))
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.count("*").alias("copies"), F.min("n").alias("n"),
+        F.min("bitmap").alias("bitmap")).withColumns(
+        {"rep": F.col("first.doc_id"), "rep_key": F.col("first.text_key")}).drop("first")
     half = F.substring("digest", 1, 8)
     classes = written(classes.withColumn("sid", F.conv(F.hex(half), 16, -10).cast("long")), "shingle-classes")
 
     met = tiles(postings(named, size, percent, common, n_long), percent, 4 * parallelism(spark), block)
     groups = components(candidate_ties(met, classes, percent))
-    links = written(verified(named, groups, classes, size, percent, block), "shingle-links")
+    links = written(verified(keyed, groups, classes, size, percent, block), "shingle-links")
     per_class = links.groupBy("digest").agg(F.sum("links").alias("links"))
     joined = components(links.select(F.col("digest").alias("a"), F.col("tie").alias("b")))
     named_groups = joined.join(classes.select("digest", "rep"), joined.node == F.col("digest")).select(

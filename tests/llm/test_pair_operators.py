@@ -134,6 +134,18 @@ def test_jaccard_join_odd_ids_and_keep_one(spark):
         [(7, t[1]), (0, t[1]), (3, ""), (4, ""), (20, pairs[6][1]), (7, pairs[7][1])])
 
 
+def test_one_id_over_many_texts_brings_one_text_a_class(spark):
+    texts = sorted(set(family(3, 30)))
+    docs = spark.createDataFrame([(-1, t) for t in texts], "doc_id long, text string").withColumn(
+        "text_key", F.xxhash64("text"))
+    members = docs.select(F.col("doc_id").alias("rep"), F.col("text_key").alias("rep_key"), F.col("text").alias("digest"))
+    got = JT.class_texts(docs, members).collect()
+    assert sorted(r.text for r in got) == sorted(texts) and all(r.text == r.digest for r in got)
+    links = JT.jaccard_join(docs).collect()
+    want = brute_join(list(enumerate(texts)))
+    assert sorted((r.n_shingles, r.n_links) for r in links) == sorted((n, k) for n, _, k in want.values())
+
+
 def test_bitmap_bound_never_misses():
     rng = np.random.default_rng(1)
     sets = []
