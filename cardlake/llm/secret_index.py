@@ -242,16 +242,20 @@ def _applies(text: Column, no: int, rule: Rule) -> Column:
     return F.coalesce(F.array_contains("rule_nos", F.lit(no)), F.lit(False))
 
 
+def _found(rules: tuple[Rule, ...]) -> Column:
+    """All spans of the column ``text``, by start, then by rule order."""
+    none = F.array().cast(_SPAN)
+    return F.array_sort(F.concat(*[
+        F.when(_applies(F.col("text"), n, r), _spans(F.col("text"), n, r)).otherwise(none) for n, r in enumerate(rules)]))
+
+
 def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``doc_id``, the number of spans of each base kind (``n_<kind>``), ``base_sha256`` over the base
     spans and ``spans`` over all, both ``kind:start:end`` by start, then by rule order."""
     rows = _looked_up(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), rules,
                       "doc_id", "text")
-    none = F.array().cast(_SPAN)
-    found = F.array_sort(F.concat(*[
-        F.when(_applies(F.col("text"), n, r), _spans(F.col("text"), n, r)).otherwise(none) for n, r in enumerate(rules)]))
-    spans = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), found.alias("found"))
+    spans = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), _found(rules).alias("found"))
     base = [n for n, r in enumerate(rules) if r.base]
 
     def joined(spans_col: Column) -> Column:
@@ -267,21 +271,25 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, with every found secret in the text replaced.
-    The method's own rules apply first, then the base
-    kinds, each to what the earlier ones left. A null text stays null."""
+    All spans are those ``secret_scan`` finds in the original text; overlapping ones are replaced as
+    one. A null text stays null."""
     rows = _looked_up(docs, rules, id_col, text_col)
-
-    def replaced(text: Column, rule: Rule) -> Column:
-        return _let(_matches(text, rule), lambda parts: F.concat(
-            F.array_join(F.transform(parts, lambda x: F.concat(
-                x["gap"], F.when(x["ok"], F.lit(REDACTED)).otherwise(x["hit"]))), ""),
-            F.element_at(F.split(text, rule.pattern, -1), -1)))
-
-    def step(value: Column, no: int, rule: Rule) -> Column:
-        return _let(value, lambda t: F.when(_applies(t, no, rule), replaced(t, rule)).otherwise(t))
-
     text = F.col("text")
-    for n, rule in sorted(enumerate(rules), key=lambda x: x[1].base):
-        text = step(text, n, rule)
-    clean = F.when(F.col(f"doc.`{text_col}`").isNotNull(), text).alias(text_col)
+    merged = F.aggregate(_found(rules), F.array().cast("array<struct<start:int,end:int>>"), lambda done, s: _let(
+        F.try_element_at(done, F.lit(-1)), lambda top: F.when(
+            top.isNotNull() & (s["start"] < top["end"]),
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+                top["start"].alias("start"), F.greatest(top["end"], s["end"].cast("int")).alias("end"))))).otherwise(
+            F.concat(done, F.array(F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))))))
+
+    def replaced(spans: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            at = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(F.lit(0))
+            return F.concat(F.substring(text, at + 1, s["start"] - at), F.lit(REDACTED))
+
+        rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
+        return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), rest)).otherwise(text)
+
+    text_out = _let(merged, replaced)
+    clean = F.when(F.col(f"doc.`{text_col}`").isNotNull(), text_out).alias(text_col)
     return rows.select(*[clean if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])

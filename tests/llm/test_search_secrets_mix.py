@@ -94,6 +94,18 @@ def test_secret_scan_equals_brute_force(spark):
     assert SI.secret_scan(df.where(F.lit(False))).collect() == []
 
 
+def test_redact_leaves_no_character_of_a_span(spark):
+    texts = SECRETS + ["password=hunter2AIza" + "b" * 35 + "TAILTAIL", "é secret: s3cr3tpass-xoxb-1234567890ab end", "none"]
+    got = SI.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in got:
+        want, at = "", 0
+        for a, _, b, _ in spans_of(texts[r.doc_id]):
+            if a >= at:
+                want += texts[r.doc_id][at:a] + SI.REDACTED
+            at = max(at, b)
+        assert r.text == want + texts[r.doc_id][at:]
+
+
 def test_trigram_queries():
     q = {r.kind: SI.trigram_query(r.pattern) for r in SI.RULES}
     assert q["hex"] == SI.ALWAYS
