@@ -142,6 +142,16 @@ def evaluate(postfix: list[str]) -> tuple[set[str], int]:
     return stack.pop()
 
 
+def _goes_on(operator: str, right: str | None) -> bool:
+    """Whether an operator with this right operand belongs to the expression: written in lower case,
+    it may be a word of the prose unless a licence (behind ``with`` an exception) follows it."""
+    if operator.isupper() or right is None:
+        return True
+    right = right.lower().rstrip(".")
+    formed = any(c.isdigit() or c in ".-" for c in right)
+    return formed or operator.lower() != "with" and (right == "(" or right.removesuffix("+") in IDENTIFIER_LABELS)
+
+
 def read_expression(text: str, at: int) -> tuple[str, set[str], int] | None:
     """The licence expression that starts at ``at``: the longest parsable run of tokens on
     the line, so prose that follows the expression does not spoil it."""
@@ -155,6 +165,9 @@ def read_expression(text: str, at: int) -> tuple[str, set[str], int] | None:
             if is_operand and operand_before or tok == "(" and operand_before:
                 cut = i
                 break
+            if tok.lower() in _OPERATORS and not _goes_on(tok, tokens[i + 1] if i + 1 < len(tokens) else None):
+                cut = i
+                break
             if tok == "(" or tok.lower() in _OPERATORS:
                 operand_before = False
             else:

@@ -66,6 +66,16 @@ def test_license_expressions():
     assert LS.to_postfix(["a", "b"]) is None and LS.to_postfix(["(", "a"]) is None
 
 
+def test_license_expression_ends_before_prose():
+    got = LS.scan("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause and more prose follows here")
+    assert got["expressions"] == ["( MIT OR Apache-2.0 ) AND BSD-3-Clause"]
+    assert got["labels"] == "apache-2,bsd,mit" and got["usage"] == "permissive"
+    for tail in ("or later.", "with no warranty"):
+        assert LS.scan(f"SPDX-License-Identifier: MIT {tail}")["labels"] == "mit"
+    assert LS.scan("SPDX-License-Identifier: mit or (isc and apache-2.0)")["labels"] == "apache-2,isc,mit"
+    assert LS.scan("SPDX-License-Identifier: MIT OR Zlib")["labels"] == "mit,zlib"
+
+
 def repetition_base(text):
     w = WORD.findall(text or "")
     tri = collections.Counter(tuple(w[i: i + 3]) for i in range(len(w) - 2))
