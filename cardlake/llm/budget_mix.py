@@ -74,10 +74,13 @@ def plan(sized: DataFrame, share: float, epochs: int, weights: dict[str, float])
         "capacity", F.col("tokens") * F.lit(epochs))
     leaves = written(leaves, "mix-leaves")
     available = leaves.agg(F.sum("tokens")).first()[0] or 0
+    live = leaves  # a node that gets nothing lends no capacity to those above it
+    for depth in range(1, len(LEVELS) + 1):
+        live = live.where(_weight(F.concat_ws("/", *LEVELS[:depth]), weights) > 0)
     total = F.lit(int(available * share)).cast("long")
     budgets = None
     for depth in range(1, len(LEVELS) + 1):
-        budgets = share_out(leaves, budgets, depth, weights, total)
+        budgets = share_out(live, budgets, depth, weights, total)
     whole = F.floor(F.col("budget") / F.col("tokens"))
     return leaves.join(budgets, list(LEVELS)).select(
         *LEVELS, "tokens", "budget", whole.alias("whole"),

@@ -166,3 +166,12 @@ def test_mix_equals_brute_force(spark, share, epochs, weights):
     assert sorted([(r.doc.doc_id, (r.domain, r.lang, r.source), r.epoch) for r in got], key=repr) == brute_mix(
         rows, share, epochs, weights, 9)
     assert mix(df.where(F.lit(False)), F.col("dom"), share).count() == 0
+
+
+def test_mix_gives_no_budget_for_leaves_of_weight_zero(spark):
+    rows = [(i, "w " * 10, "de" if i < 80 else "en", "s", "a") for i in range(100)]
+    rows += [(i, "w " * 10, "en", "s", "b") for i in range(100, 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, dom string")
+    got = mix(df, F.col("dom"), 0.5, 1, {"a/de": 0.0}).collect()
+    # a can use 200 of its 500 tokens; the other 300 go to b
+    assert sorted((r.domain, r.lang) for r in got) == [("a", "en")] * 20 + [("b", "en")] * 80
