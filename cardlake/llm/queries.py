@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_trie import bpe_digests
 from cardlake.llm.budget_mix import NULL_NAME, mix
+from cardlake.llm.decontamination import leak_digests
 from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.quote_threads import link_quotations
@@ -88,10 +89,14 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op13_leak_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op6_quote_threads,
              op7_secret_index, op8_weak_labels,
-             op9_budget_mix, op10_jaccard_tiles]
+             op9_budget_mix, op10_jaccard_tiles, op13_leak_index]
     return {f.__name__: f for f in found}
 
 
@@ -176,5 +181,28 @@ FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS
 """
 
 
+LEAK_WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, {LEAK_WORDS_SQL} AS w FROM documents
+), i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {LEAK_WORDS_SQL} AS w FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item, array_to_string(list_slice(w, k, k + 9), ' ') AS phrase, least(len(w), 10) AS n
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(k) WHERE len(w) > 0
+), places AS (
+  SELECT no, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS phrase
+  FROM d, (SELECT DISTINCT n FROM phrases), unnest(range(1, len(w) - n + 2)) AS t(k)
+), hits AS (SELECT no, k, n, item FROM places JOIN phrases USING (phrase, n)
+), covered AS (
+  SELECT no, count(DISTINCT word) AS n_hit FROM (SELECT DISTINCT no, k, n FROM hits), unnest(range(k, k + n)) AS t(word)
+  GROUP BY no
+), named AS (SELECT no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT no, item FROM hits) GROUP BY no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL}
+    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op13_leak_index": OP13_SQL}
