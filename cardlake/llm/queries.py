@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from cardlake.llm.bpe_trie import bpe_digests
 from cardlake.llm.budget_mix import NULL_NAME, mix
 from cardlake.llm.decontamination import leak_digests
+from cardlake.llm.fill_in_middle import MARKS, PLAIN_PERCENT, SEED, SPM_PERCENT, middle_digests
 from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.quote_threads import link_quotations
 from cardlake.llm.repetition import repetition_rules
 from cardlake.llm.secret_index import secret_scan
+from cardlake.llm.spelling_variants import spelling_variants
 from cardlake.llm.substring_dedup import substring_dedup
 from cardlake.llm.tables import table
 from cardlake.llm.topk_nra import top_k
@@ -89,6 +91,14 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_leak_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -96,7 +106,7 @@ def op13_leak_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [op1_license_scan, op2_topk_nra, op3_repetition_rules, op4_substring_dedup, op5_bpe_trie, op6_quote_threads,
              op7_secret_index, op8_weak_labels,
-             op9_budget_mix, op10_jaccard_tiles, op13_leak_index]
+             op9_budget_mix, op10_jaccard_tiles, op11_spelling_variants, op12_fill_in_middle, op13_leak_index]
     return {f.__name__: f for f in found}
 
 
@@ -181,6 +191,33 @@ FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS
 """
 
 
+OP12_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+    sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, {", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))}
+  FROM d
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR {" OR ".join(f"contains(text, '{m}')" for m in MARKS)} OR h3 % 100 >= {PLAIN_PERCENT} THEN 'plain'
+         WHEN h4 % 100 < {SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS prefix, array_to_string(list_slice(u, a + 1, b), '') AS middle,
+    array_to_string(list_slice(u, b + 1, n), '') AS suffix
+  FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+         ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
 LEAK_WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 OP13_SQL = f"""
@@ -205,4 +242,5 @@ FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op13_leak_index": OP13_SQL}
+    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op12_fill_in_middle": OP12_SQL,
+            "op13_leak_index": OP13_SQL}
