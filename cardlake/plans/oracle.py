@@ -478,6 +478,8 @@ _DIRTY_USERS = (
 SELECTS.update({
     "ingest_fraud_split_odd": _LABELS.format(_ODD_LABEL),
     "ingest_fraud_lines_odd": _LABELS.format(_ODD_LABEL),
+    "ingest_fraud_split_layouts": _LABELS.format(_ODD_LABEL),
+    "ingest_fraud_split_one_line": _LABELS.format(_ODD_LABEL),
     "ingest_csv_cards_extra": (
         "SELECT c.*, o.o_orderpriority AS card_brand, o.o_orderstatus AS card_type "
         "FROM raw_cards c JOIN orders o ON c.id = o.o_orderkey"

@@ -112,6 +112,22 @@ def ingest_fraud(reader, pretty: bool, labels=None):
     return q
 
 
+def ingest_fraud_split_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Label objects in every legal layout, one folder each, read by splits."""
+    base, layouts = scratch_path(spark, "raw_fraud_layouts"), list(FS.LABEL_LAYOUTS)
+    labels = _odd_labels(spark, d).withColumn("no", F.coalesce(
+        F.pmod(F.col("transaction_id").cast("long"), F.lit(len(layouts))), F.lit(0)))
+    for no, layout in enumerate(layouts):
+        FS.write_label_objects(labels.where(F.col("no") == no), "transaction_id", "fraud_label", f"{base}/{layout}",
+                               entries_per_object=500, layout=layout)
+    return FS.bronze_fraud_labels_split(spark, base)
+
+
+def ingest_fraud_split_one_line(spark: SparkSession, d: str) -> DataFrame:
+    """Large label objects, each on a line of its own, read by splits that may begin within a line."""
+    return FS.bronze_fraud_labels_split(spark, _fraud_files(spark, _odd_labels(spark, d), False))
+
+
 def raw_landing_csv(name: str):
     def q(spark: SparkSession, d: str) -> DataFrame:
         src = FS.write_csv(_raw(spark, d, name), scratch_path(spark, f"source_{name}"))
@@ -224,6 +240,8 @@ ROUNDTRIP_QUERIES = {
     "ingest_fraud_whole": ingest_fraud(FS.bronze_fraud_labels_whole, True),
     "ingest_fraud_split_odd": ingest_fraud(FS.bronze_fraud_labels_split, True, _odd_labels),
     "ingest_fraud_lines_odd": ingest_fraud(FS.bronze_fraud_labels_by_line, False, _odd_labels),
+    "ingest_fraud_split_layouts": ingest_fraud_split_layouts,
+    "ingest_fraud_split_one_line": ingest_fraud_split_one_line,
     "ingest_csv_cards_extra": ingest_csv_cards_extra,
     "reject_report_files": reject_report_files,
     "silver_transactions_iso": silver_transactions_iso,

@@ -8,8 +8,12 @@ trips, persisted layers) goes under the folder named by
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +92,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_cardlake_scratch")
     return f"{base.rstrip('/')}/cardlake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per Spark context, so that Python tasks can
+    import them whatever folder the workers start in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cardlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # executors fetch the file from the driver as they start, so it stays until the driver ends
+    folder = tempfile.mkdtemp(prefix="cardlake-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "cardlake_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(os.path.join(root, "cardlake")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), root))
+    sc.addPyFile(path)
+    sc._cardlake_shipped = True

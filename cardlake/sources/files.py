@@ -8,11 +8,12 @@ object. Writers: the same shapes from DataFrames, all distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cardlake.operators.reshape import FRAUD_OBJECT_SCHEMA, explode_map
+from cardlake.sources.json_split import object_entries
 
 # Dialect of the delimited source files.
 CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
@@ -105,41 +106,25 @@ def bronze_fraud_labels_whole(spark: SparkSession, path: str) -> DataFrame:
     return _fraud_rows(files.select(F.from_json("value", FRAUD_OBJECT_SCHEMA).alias("data")))
 
 
-_OPENED = r'^\s*\{?\s*"((?:[^"\\]|\\.)*)"\s*:\s*\{\s*$'
-_CLOSED = r"^[\s}]*\}[\s},]*$"
-_ENTRY = r'^\s*("(?:[^"\\]|\\.)*"\s*:\s*(?:null|"(?:[^"\\]|\\.)*"))\s*,?\s*$'
+# commas between entries of a text that is no legal JSON: before a key, or at the end of a line
+_NEXT_ENTRY = r',(?=\s*"(?:[^"\\]|\\.)*"\s*:)|,(?=[ \t]*\r?\n)'
 
 
 def bronze_fraud_labels_split(spark: SparkSession, path: str) -> DataFrame:
-    """Splittable read of giant label objects laid out over lines, one entry a line.
-
-    JSON text never has a raw line break inside a string, so lines can be read from any number of
-    input splits: escapes, commas and nulls inside an entry stay intact. An entry belongs to
-    the object that was opened last before it; the few lines that open or close objects are
-    gathered per input split and looked up, and only entries of ``target`` are labels. A line that
-    is a whole object is parsed as one. A line that is none of these is returned with a NULL id and
-    the line as its label, so nothing is lost unseen."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), "value").where(F.trim("value") != "")
-    opened, closed = F.regexp_extract("value", _OPENED, 1), F.col("value").rlike(_CLOSED)
-    bare = F.col("value").rlike(r"^\s*\{\s*$")
-    is_open = F.col("value").rlike(_OPENED)
-    marks = lines.where(is_open | closed).groupBy("file", "block").agg(
-        F.sort_array(F.collect_list(F.struct("line", F.when(is_open, opened).otherwise("").alias("scope")))).alias("marks"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.select("file", "block").distinct().join(marks, ["file", "block"], "left").withColumn(
-        "before", F.last(F.element_at("marks", -1)["scope"], ignorenulls=True).over(earlier))
-    entries = lines.where(~is_open & ~closed & ~bare).join(blocks, ["file", "block"], "left")
-    scope = F.coalesce(F.when(F.size("marks") > 0, F.try_element_at(
-        F.filter("marks", lambda m: m["line"] < F.col("line")), F.lit(-1))["scope"]), F.col("before"), F.lit(""))
-    entry = F.regexp_extract("value", _ENTRY, 1)
-    whole = F.col("value").rlike(r"^\s*\{.*\}\s*$")
-    pairs = F.when(whole, F.from_json("value", FRAUD_OBJECT_SCHEMA)["target"]).when(
-        entry != "", F.when(scope == "target", F.from_json(F.concat(F.lit("{"), entry, F.lit("}")), "map<string,string>"))
-        .otherwise(F.create_map().cast("map<string,string>"))).otherwise(F.create_map(F.lit(""), F.col("value")))
-    rows = entries.select(F.explode(pairs).alias("k", "fraud_label"))
-    return rows.select(F.col("k").try_cast("long").alias("transaction_id"), "fraud_label")
+    """Splittable read of giant label objects in any legal layout: one line or many, several objects a file, other
+    keys beside ``target``, nested values. Gives the rows of ``bronze_fraud_labels_whole``, and those of all
+    top-level objects where a file holds several. Runs of entries are cut out by ``json_split``, which
+    writes its chunks when this is called, and parsed by the engine. Text among the entries that is no legal
+    entry comes with a NULL id and the text as its label, so nothing is lost unseen."""
+    def entries(text):
+        return F.map_entries(F.from_json(F.concat(F.lit("{"), text, F.lit("}")), "map<string,string>"))
+
+    one_by_one = F.flatten(F.transform(F.split("run", _NEXT_ENTRY), lambda e: F.coalesce(
+        entries(e), F.array(F.struct(F.lit("").alias("key"), F.regexp_replace(e, r"^\s+|\s+$", "").alias("value"))))))
+    pairs = F.when(F.col("run").isNull(), F.array(F.struct("key", "value"))).otherwise(
+        F.coalesce(entries(F.col("run")), one_by_one))
+    return object_entries(spark, path, "target").select(F.explode(pairs).alias("pair")).select(
+        F.col("pair.key").try_cast("long").alias("transaction_id"), F.col("pair.value").alias("fraud_label"))
 
 
 # --- writers ----------------------------------------------------------------------
@@ -169,14 +154,26 @@ def write_json_object(df: DataFrame, key: str, value: str, path: str, entries_pe
     return path
 
 
+#: Legal layouts of a label object: what stands before, between and behind the entries.
+LABEL_LAYOUTS = {
+    "line": ('{"target": {', ", ", "}}"),
+    "pretty": ('{\n  "target": {\n    ', ",\n    ", "\n  }\n}"),
+    "brace_below": ('{"target":\n{\n', ",\n", "}}"),
+    "other_objects": ('{"meta": {"target": {"1": "Yes"}, "list": [1, {"target": {"2": "x"}}]}, "target": {', " , ",
+                      '\n}, "after": {"3": "No, }"}}'),
+    "loose": ('\r\n{\t"t\\u0061rget"\r\n: {', ',\r\n\r\n\t', "\t}\r\n}\r\n"),
+}
+
+
 def write_label_objects(df: DataFrame, key: str, value: str, path: str, entries_per_object: int = 200_000,
-                        pretty: bool = False) -> str:
+                        pretty: bool = False, layout: str | None = None) -> str:
     """Write (key, value) rows as ``{"target": {"k": "v", ...}}`` objects of at most ``entries_per_object``
     entries. ``pretty`` lays each out over many lines, one entry a line and one object per file;
-    otherwise an object is one line and a file holds many."""
-    sep, head, tail = (",\n    ", '{\n  "target": {\n    ', "\n  }\n}") if pretty else (", ", '{"target": {', "}}")
+    otherwise an object is one line and a file holds many. ``layout`` names another of ``LABEL_LAYOUTS``."""
+    layout = layout or ("pretty" if pretty else "line")
+    head, sep, tail = LABEL_LAYOUTS[layout]
     w = _objects(df, key, value, entries_per_object, head, sep, tail).write.mode("overwrite")
-    (w.option("maxRecordsPerFile", 1) if pretty else w).text(path)
+    (w if layout == "line" else w.option("maxRecordsPerFile", 1)).text(path)
     return path
 
 
