@@ -484,6 +484,12 @@ SELECTS.update({
         "SELECT c.*, o.o_orderpriority AS card_brand, o.o_orderstatus AS card_type "
         "FROM raw_cards c JOIN orders o ON c.id = o.o_orderkey"
     ),
+    "ingest_csv_mixed_headers": "SELECT *, CASE WHEN id % 3 = 2 THEN concat('n', CAST(id AS VARCHAR)) END AS note FROM raw_users",
+    "raw_landing_csv_odd": (
+        "SELECT * REPLACE (CASE id % 9 WHEN 0 THEN address || chr(10) || address WHEN 1 THEN '\\N' WHEN 2 THEN address || '\"' "
+        "WHEN 3 THEN address || '\\' WHEN 4 THEN '' WHEN 5 THEN NULL "
+        "WHEN 6 THEN '\"' || address || '\",' || chr(13) || chr(10) || '\\\"' ELSE address END AS address) FROM raw_users"
+    ),
     "reject_report_files": _reject_sql("users", _DIRTY_USERS),
     "silver_transactions_iso": "SELECT * FROM silver_transactions",
     "silver_transactions_inferred": "SELECT * FROM silver_transactions",

@@ -60,6 +60,17 @@ def ingest_csv_cards_extra(spark: SparkSession, d: str) -> DataFrame:
     return FS.read_csv(spark, FS.write_csv(wide, scratch_path(spark, "raw_cards_extra")), RAW_CSV_SCHEMAS["cards"])
 
 
+def ingest_csv_mixed_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Users in one folder whose files have their columns in three orders, some with a further column."""
+    users, path = _raw(spark, d, "users"), scratch_path(spark, "raw_users_mixed")
+    group = F.coalesce(F.pmod("id", F.lit(3)), F.lit(0))
+    orders = [users.columns, sorted(users.columns), ["note", *reversed(users.columns)]]
+    for no, columns in enumerate(orders):
+        part = users.withColumn("note", F.concat(F.lit("n"), F.col("id").cast("string"))).where(group == no)
+        part.select(*columns).write.mode("append").options(**FS.CSV_DIALECT, **FS.CSV_WRITE).csv(path)
+    return FS.read_csv(spark, path, RAW_CSV_SCHEMAS["users"])
+
+
 def reject_report_files(spark: SparkSession, d: str) -> DataFrame:
     """The reject report over files whose numeric columns hold text that is no number."""
     u = _raw(spark, d, "users")
@@ -137,6 +148,19 @@ def raw_landing_csv(name: str):
     return q
 
 
+def raw_landing_csv_odd(spark: SparkSession, d: str) -> DataFrame:
+    """Landed users whose addresses hold line breaks, quotes, backslashes, and texts that look like marks."""
+    odd = [F.concat("address", F.lit("\n"), "address"), F.lit("\\N"), F.concat("address", F.lit('"')), F.concat("address", F.lit("\\")),
+           F.lit(""), F.lit(None).cast("string"), F.concat(F.lit('"'), "address", F.lit('",\r\n\\"'))]
+    address = F.col("address")
+    for no, value in enumerate(odd):
+        address = F.when(F.col("id") % 9 == no, value).otherwise(address)
+    users = _raw(spark, d, "users").withColumn("address", address)
+    src = FS.write_csv(users, scratch_path(spark, "source_users_odd"))
+    landed = FS.land_csv(spark, src, scratch_path(spark, "landed_users_odd"))
+    return FS.read_csv(spark, landed, RAW_CSV_SCHEMAS["users"], line_breaks=True)
+
+
 def raw_landing_json(spark: SparkSession, d: str) -> DataFrame:
     src = _fraud_files(spark, _raw(spark, d, "fraud_labels"), False)
     dst = FS.land_text(spark, src, scratch_path(spark, "landed_fraud"), glob="*.txt")
@@ -243,12 +267,14 @@ ROUNDTRIP_QUERIES = {
     "ingest_fraud_split_layouts": ingest_fraud_split_layouts,
     "ingest_fraud_split_one_line": ingest_fraud_split_one_line,
     "ingest_csv_cards_extra": ingest_csv_cards_extra,
+    "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
     "reject_report_files": reject_report_files,
     "silver_transactions_iso": silver_transactions_iso,
     "silver_transactions_inferred": silver_transactions_inferred,
     "raw_landing_csv": raw_landing_csv("users"),
     "raw_landing_csv_cards": raw_landing_csv("cards"),
     "raw_landing_csv_transactions": raw_landing_csv("transactions"),
+    "raw_landing_csv_odd": raw_landing_csv_odd,
     "raw_landing_mcc": raw_landing_mcc,
     "scan_by_extension": scan_by_extension,
     "raw_landing_json": raw_landing_json,

@@ -8,11 +8,15 @@ object. Writers: the same shapes from DataFrames, all distributed.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cardlake.operators.reshape import FRAUD_OBJECT_SCHEMA, explode_map
+from cardlake.sources.csv_split import QuotedRecords, csv_records, header_names
 from cardlake.sources.json_split import object_entries
 
 # Dialect of the delimited source files.
@@ -20,27 +24,81 @@ CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
 # Writing keeps padding (" no " stays padded); an empty string is written as
 # "" and a NULL as an empty field, and the reader tells them apart.
 CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-CSV_READ_KEEP_EMPTY = {"nullValue": "\\N"}
-# Landing quotes every field, so NULL needs a mark of its own.
-CSV_LAND_NULL = {"nullValue": "\\N"}
 
 # --- readers ----------------------------------------------------------------------
 
+def _keep_empty() -> dict[str, str]:
+    """An unquoted empty field reads as the null value, a quoted one as ''. The null value is new for each
+    reader, so no text equals it."""
+    return {"nullValue": uuid.uuid4().hex}
+
+
+def header_groups(spark: SparkSession, path: str | list[str], escape: str = CSV_DIALECT["escape"],
+                  **options: str) -> list[tuple[str, list[str]]]:
+    """The catalogue of a folder's files: ``(header record, files)``, in the order of each group's first file. Only the
+    first record of each file is read, by the driver, which lists the files anyway. Files without
+    a record are in no group."""
+    whole = QuotedRecords(escape).whole
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def first_record(uri: str) -> tuple[str | None, str]:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            record = lines.readLine()
+            while record is not None and not whole(record) and (more := lines.readLine()) is not None:
+                record += "\n" + more
+            return record, file.toString()
+        finally:
+            stream.close()
+
+    files = sorted(spark.read.options(**options).text(path).inputFiles())
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for record, file in pool.map(first_record, files):
+            if record is not None:
+                groups.setdefault(record, []).append(file)
+    return list(groups.items())
+
+
+def _by_record(spark: SparkSession, header: str, files: list[str], options: dict[str, str]) -> DataFrame:
+    """Text columns of files with one header; quoted fields may hold line breaks and the files are still split."""
+    names = header_names(header, options["escape"])
+    columns = StructType([StructField(n, StringType()) for n in names])
+    records = csv_records(spark, files, options["escape"]).where(F.trim("record") != "")
+    fields = F.from_csv("record", columns.toDDL(), {**options, "header": "false", "multiLine": "true"}).alias("fields")
+    return records.select(fields).select("fields.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, glob: str | None = "*.csv",
-             recursive: bool = False, keep_empty_strings: bool = True, infer: bool = False,
-             **options: str) -> DataFrame:
-    """Header CSV; columns go by their header names, in any order. Without a ``schema`` every column is
-    text (``infer=True``: inferred types). With one, its columns come first, cast to their types
-    (text that does not fit is NULL), then all other columns as text; a column the files lack is
-    an error that names it. ``keep_empty_strings``: a quoted empty field reads as '' (an unquoted empty
-    field is NULL); otherwise both read as NULL (Spark's default)."""
-    base = {**CSV_DIALECT, **(CSV_READ_KEEP_EMPTY if keep_empty_strings else {})}
-    r = spark.read.options(**{**base, **options}).option("inferSchema", str(infer).lower())
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    df = r.csv(path)
+             recursive: bool = False, keep_empty_strings: bool = True, infer: bool = False, line_breaks: bool = False,
+             source_file: str | None = None, **options: str) -> DataFrame:
+    """Header CSV; columns go by their header names. Files of one folder may have their columns in any order and
+    may lack some or have others: files with the same header are read together, and the groups are put
+    together by name, with NULL where a file lacks a column.
+
+    Without a ``schema`` every column is text (``infer=True``: inferred types; text where the
+    groups' types differ). With one, its columns come first, cast to their types (text that does not fit is
+    NULL), then all other columns as text; a column that no file has is an error that names it.
+    ``keep_empty_strings``: a quoted empty field reads as '' (an unquoted empty field is NULL); otherwise both
+    read as NULL (Spark's default). ``line_breaks``: quoted fields may hold line breaks (the reader then
+    writes its chunks to the scratch folder when called; all columns are text). ``source_file``
+    names a further column for the name of the file each row came from (not with ``line_breaks``)."""
+    dialect = {**CSV_DIALECT, **(_keep_empty() if keep_empty_strings else {}), **options}
+    listing = {**({"pathGlobFilter": glob} if glob else {}), **({"recursiveFileLookup": "true"} if recursive else {})}
+
+    def frame(header: str | None, where: str | list[str], listed: dict[str, str]) -> DataFrame:
+        if line_breaks and header is not None:
+            return _by_record(spark, header, where, dialect)
+        df = spark.read.options(**{**dialect, **listed}).option("inferSchema", str(infer).lower()).csv(where)
+        return with_source_file(df, source_file) if source_file else df
+
+    groups = header_groups(spark, path, dialect["escape"], **listing)
+    if len(groups) < 2 and not (line_breaks and groups):
+        df = frame(None, path, listing)
+    else:
+        df = union_by_name([frame(header, files, {}) for header, files in groups])
     if schema is None:
         return df
     missing = [f.name for f in schema.fields if f.name not in df.columns]
@@ -51,6 +109,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, g
                      *[F.col(f"`{c}`") for c in extra])
 
 
+def union_by_name(frames: list[DataFrame]) -> DataFrame:
+    """All rows, columns by name in the order in which they first appear; a column whose types differ is text."""
+    types: dict[str, set[str]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            types.setdefault(f.name, set()).add(f.dataType.simpleString())
+    out = None
+    for df in frames:
+        same = df.select(*[(F.col(f"`{c}`").cast("string").alias(c) if len(types[c]) > 1 else F.col(f"`{c}`"))
+                           for c in df.columns])
+        out = same if out is None else out.unionByName(same, allowMissingColumns=True)
+    return out
+
+
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     """Provenance column: the name of the file each row came from."""
     return df.select("*", F.col("_metadata.file_name").alias(name))
@@ -132,7 +204,7 @@ def bronze_fraud_labels_split(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> str:
     w = df.write.mode("overwrite").options(**CSV_DIALECT, **CSV_WRITE)
     if quote_all:
-        w = w.options(quoteAll="true", **CSV_LAND_NULL)
+        w = w.option("quoteAll", "true")
     w.csv(path)
     return path
 
@@ -178,9 +250,17 @@ def write_label_objects(df: DataFrame, key: str, value: str, path: str, entries_
 
 
 def land_csv(spark: SparkSession, src: str, dst: str, glob: str = "*.csv", recursive: bool = False) -> str:
-    """Raw landing copy of delimited files: every field re-quoted, header kept, read and written as text
-    columns (no type conversion, nothing truncated, NULL and '' kept apart)."""
-    return write_csv(read_csv(spark, src, glob=glob, recursive=recursive), dst, quote_all=True)
+    """Raw landing copy of delimited files, read and written as text columns: no type conversion, nothing truncated.
+    Fields are quoted where they hold a separator, quote, backslash or line break; '' is written as "" and NULL as
+    nothing, so no text can be taken for it (quoting every field would make the two alike). Files keep their
+    own headers: those with the same header are landed together."""
+    listing = {"pathGlobFilter": glob, **({"recursiveFileLookup": "true"} if recursive else {})}
+    options = {**CSV_DIALECT, **_keep_empty()}
+    mode = "overwrite"
+    for header, files in header_groups(spark, src, options["escape"], **listing):
+        _by_record(spark, header, files, options).write.mode(mode).options(**CSV_DIALECT, **CSV_WRITE).csv(dst)
+        mode = "append"
+    return dst
 
 
 def land_text(spark: SparkSession, src: str, dst: str, glob: str = "*.json") -> str:

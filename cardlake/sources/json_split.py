@@ -1,17 +1,7 @@
-"""Splittable scan of giant JSON objects in any legal layout.
+"""Splittable scan of giant JSON objects in any legal layout (see ``split_scan``).
 
-A file is read in records that end at commas, so a split may begin inside a line, and an object on a
-single line is read by as many tasks as its size asks for. What a stretch of text means depends on where it
-begins: inside a string or not, and in which objects. So the scan is a parallel prefix over a token
-automaton:
-
-1. Each task gathers the records of its splits into chunks. A chunk carries, for both ways it can begin
-   (outside and inside a string), what the text from the split's start up to it does: is it inside a string then,
-   how many containers that were open at the start has it closed, which has it opened and left open.
-   Chunks are written once to the scratch folder, so both readers see the same splits.
-2. The totals of the splits, one row each, are composed per file: the state at the start of every split.
-3. Every chunk starts from its true state and hands out the entries of the wanted object. Only chunks
-   that an entry overhangs are looked at once more, and the parts of such entries are put together.
+Pieces end at commas, so an object on a single line is read by as many tasks as its size asks for. The
+automaton follows strings, escapes, and the containers that lie open.
 
 A run of entries whose values are all strings or null is decoded where it is found (the engine's reader interns every
 key, which takes many times as long). Any other run is handed out as text and parsed by the engine,
@@ -25,14 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.session import ensure_checkpoint_dir, scratch_path, ship_package
-
-#: A chunk is handed on when it holds so many bytes.
-CHUNK_BYTES = 1 << 18
+from cardlake.sources.split_scan import Effect, scan
 
 QUOTE, BACKSLASH, COMMA, COLON = b'"\\,:'
 _IS_MARK = np.zeros(256, dtype=bool)
@@ -89,29 +75,6 @@ class Tokens:
         return self.ends_inside, closed, "".join(self.kind(i) for i in left.tolist())
 
 
-#: What a text does, by how it begins: outside a string, inside one.
-Effect = tuple[tuple[bool, int, str], tuple[bool, int, str]]
-NOTHING: Effect = ((False, 0, ""), (True, 0, ""))
-
-
-def effect_of(text: bytes, key: str) -> Effect:
-    return Tokens(text, False, key).effect(), Tokens(text, True, key).effect()
-
-
-def composed(first: Effect, then: Effect) -> Effect:
-    def one(inside: bool, closed: int, opened: str) -> tuple[bool, int, str]:
-        ends, closes, opens = then[inside]
-        kept = opened[: max(0, len(opened) - closes)]
-        return ends, closed + max(0, closes - len(opened)), kept + opens
-
-    return one(*first[0]), one(*first[1])
-
-
-def applied(effect: Effect, inside: bool, stack: str) -> tuple[bool, str]:
-    ends, closes, opens = effect[inside]
-    return ends, stack[: max(0, len(stack) - closes)] + opens
-
-
 def runs(text: bytes, inside: bool, stack: str, key: str) -> Iterator[tuple[int, bytes]]:
     """Entries of the wanted objects in a text that begins in the given state: ``(part, text)``. Part 0: whole
     entries with the commas between them; 1: the start of an entry that goes on in the next chunk; 2: the
@@ -155,92 +118,6 @@ def runs(text: bytes, inside: bool, stack: str, key: str) -> Iterator[tuple[int,
         yield from cut(begin, len(text), goes_on, False)
 
 
-_CHUNK_DDL = "file long, check int, block long, seq long, last boolean, before string, after string, text string"
-_CHUNK = pa.schema([("file", pa.int64()), ("check", pa.int32()), ("block", pa.int64()), ("seq", pa.int64()),
-                    ("last", pa.bool_()), ("before", pa.string()), ("after", pa.string()), ("text", pa.string())])
-
-
-def _joined(texts: list[pa.Array]) -> bytes:
-    """Records as they stand in the file: a comma behind each."""
-    whole = pa.concat_arrays(texts)
-    return pc.binary_join(pa.ListArray.from_arrays([0, len(whole)], whole), ",")[0].as_buffer().to_pybytes() + b","
-
-
-def _chunks(records: DataFrame, key: str) -> DataFrame:
-    """Records in file order to chunks. ``before`` and ``after``: the effect of the split's text up to the chunk's start
-    and end; ``last``: the split's last chunk."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seq, before, held, size = None, 0, NOTHING, [], 0
-
-        def flush(last: bool) -> pa.RecordBatch:
-            nonlocal seq, before, held, size
-            text = _joined(held)
-            after = composed(before, effect_of(text, key))
-            row = [*split, seq, last, json.dumps(before), json.dumps(after), text]
-            seq, before, held, size = seq + 1, after, [], 0
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
-
-        for b in batches:
-            where = [b.column(i).to_numpy() for i in range(3)]
-            new = np.zeros(max(0, b.num_rows - 1), dtype=bool)
-            for column in where:
-                new |= column[1:] != column[:-1]
-            edges = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
-            for start, end in zip(edges, edges[1:]):
-                if end == start:
-                    continue
-                here = tuple(int(column[start]) for column in where)
-                if here != split:
-                    if split is not None:
-                        yield flush(True)
-                    split, seq, before = here, 0, NOTHING
-                part = b.column(3).slice(start, end - start)
-                length = pc.sum(pc.binary_length(part)).as_py()
-                if size and size + length > CHUNK_BYTES:
-                    yield flush(False)
-                held.append(part)
-                size += length
-        if split is not None:
-            yield flush(True)
-
-    return records.mapInArrow(run, _CHUNK_DDL)
-
-
-def _starts(chunks: DataFrame) -> DataFrame:
-    """The state at the start of every split: one row a split, composed in the order of the file."""
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("block").to_pylist(), table.column("after").to_pylist()))
-        inside, stack, starts = False, "", []
-        for _, after in rows:
-            starts.append((inside, stack))
-            inside, stack = applied(json.loads(after), inside, stack)
-        return pa.table({
-            "file": table.column("file"), "check": table.column("check"),
-            "block": pa.array([r[0] for r in rows], pa.int64()), "inside": pa.array([s[0] for s in starts], pa.bool_()),
-            "stack": pa.array([s[1] for s in starts], pa.string()),
-        })
-
-    return chunks.where("last").select("file", "check", "block", "after").groupBy("file", "check").applyInArrow(
-        run, "file long, check int, block long, inside boolean, stack string")
-
-
-def within_entry(inside: bool, stack: str) -> bool:
-    """Whether a text that ends in this state, at a comma, ends within an entry."""
-    return stack[:2] == SCOPE and (inside or len(stack) > 2)
-
-
-def _overhung(placed: DataFrame) -> DataFrame:
-    """The chunks that begin or end within an entry; their texts are not read for it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [any(within_entry(*applied(json.loads(row[side]), row["inside"], row["stack"])) for side in ("before", "after"))
-                    for row in b.select(["before", "after", "inside", "stack"]).to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_())).select(["file", "check", "block", "seq"])
-
-    return placed.select("file", "check", "block", "seq", "before", "after", "inside", "stack").mapInArrow(
-        run, "file long, check int, block long, seq long")
-
-
 def decoded(run: bytes) -> list[tuple[str, str | None]] | None:
     """The entries of a run if they are legal and all values are strings or null."""
     try:
@@ -253,64 +130,40 @@ def decoded(run: bytes) -> list[tuple[str, str | None]] | None:
     return None
 
 
-def _entries(placed: DataFrame, key: str) -> DataFrame:
-    """``key, value`` of decoded entries, ``run`` of the others."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                inside, stack = applied(json.loads(row["before"]), row["inside"], row["stack"])
-                for part, text in runs(row["text"].encode(), inside, stack, key):
-                    if part:
-                        continue
-                    pairs = decoded(text)
-                    keys, values = zip(*pairs) if pairs else ((None,), (None,))
-                    raw = [text.decode() if pairs is None else None] * len(keys)
-                    if pairs != []:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string()),
-                                                          pa.array(raw, pa.string())], names=["key", "value", "run"])
+class ObjectEntries:
+    """The automaton of ``split_scan`` for the entries of the object under ``key``."""
 
-    return placed.select("before", "inside", "stack", "text").mapInArrow(run, "key string, value string, run string")
+    separator = ","
 
+    def __init__(self, key: str):
+        self.key = key
 
-def _parts(placed: DataFrame, key: str) -> DataFrame:
-    """The parts of entries that chunks' edges cut."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for row in b.to_pylist():
-                inside, stack = applied(json.loads(row["before"]), row["inside"], row["stack"])
-                out += [(row["file"], row["check"], row["block"], row["seq"], part, text.decode())
-                        for part, text in runs(row["text"].encode(), inside, stack, key) if part]
-            columns = list(zip(*out)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([
-                pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()),
-                pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()), pa.array(columns[5], pa.string())],
-                names=["file", "check", "block", "seq", "part", "text"])
+    def effect(self, text: bytes) -> Effect:
+        return Tokens(text, False, self.key).effect(), Tokens(text, True, self.key).effect()
 
-    return placed.select("file", "check", "block", "seq", "before", "inside", "stack", "text").mapInArrow(
-        run, "file long, check int, block long, seq long, part int, text string")
+    def runs(self, text: bytes, inside: bool, stack: str) -> Iterator[tuple[int, bytes]]:
+        return runs(text, inside, stack, self.key)
+
+    def overhangs(self, inside: bool, stack: str) -> bool:
+        return stack[:2] == SCOPE and (inside or len(stack) > 2)
+
+
+def _entries(first: bool, found: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    """``key, value`` of decoded entries, ``run`` of the others."""
+    for text in found:
+        pairs = decoded(text)
+        if pairs != []:
+            keys, values = zip(*pairs) if pairs else ((None,), (None,))
+            raw = [text.decode() if pairs is None else None] * len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string()),
+                                              pa.array(raw, pa.string())], names=["key", "value", "run"])
 
 
 def object_entries(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The entries of every top-level object's object under ``key``: ``key, value`` of each, or ``run``, JSON text of one or
     more entries without the braces around it, for the engine to parse. ``path`` is read with all its
-    sub-folders. The chunks are written when this is called, to a scratch folder under the session's
-    checkpoint folder."""
-    ensure_checkpoint_dir(spark, None)
-    ship_package(spark)
-    file = F.col("_metadata.file_path")
-    records = spark.read.option("recursiveFileLookup", "true").option("lineSep", ",").text(path).select(
-        F.xxhash64(file).alias("file"), F.hash(file).alias("check"), F.col("_metadata.file_block_start").alias("block"), "value")
-    folder = scratch_path(spark, "json-chunks")
-    _chunks(records, key).write.parquet(folder)
-    chunks = spark.read.schema(_CHUNK_DDL).parquet(folder)
-    starts = _starts(chunks)
-    placed = chunks.join(starts, ["file", "check", "block"])
-    parts = _parts(placed.join(_overhung(placed), ["file", "check", "block", "seq"], "left_semi"), key)
-    # an entry begins with its part 1; the parts behind it, up to the next part 1, are its rest
-    in_order = Window.partitionBy("file", "check").orderBy("block", "seq", (F.col("part") == 1))
-    cut = parts.withColumn("entry", F.sum(F.when(F.col("part") == 1, 1).otherwise(0)).over(in_order))
+    sub-folders."""
+    whole, overhanging = scan(spark, path, ObjectEntries(key), _entries, "key string, value string, run string",
+                              recursiveFileLookup="true")
     none = F.lit(None).cast("string")
-    joined = cut.groupBy("file", "check", "entry").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
-        F.struct("block", "seq", "text"))), lambda p: p["text"]), "").alias("run"))
-    return _entries(placed, key).unionByName(joined.select(none.alias("key"), none.alias("value"), "run"))
+    return whole.unionByName(overhanging.select(none.alias("key"), none.alias("value"), "run"))

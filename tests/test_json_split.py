@@ -9,6 +9,7 @@ import pytest
 
 from cardlake.sources import files as FS
 from cardlake.sources import json_split as JS
+from cardlake.sources import split_scan as SS
 
 SCOPED = {"1": "Yes", "2": None, "3": "No, disputed", "4": 'a "b" {c}, "9": "x"', "5": "back\\", "6": "\\\"", "7": "[,]", "é\n": "z"}
 
@@ -76,23 +77,27 @@ def test_one_giant_line_is_read_by_many_tasks(spark):
 
 def cut_and_joined(text, cuts, key="target"):
     """The scan without Spark: chunks end behind commas, each starts from the state before it."""
+    automaton = JS.ObjectEntries(key)
     edges = [0, *cuts, len(text)]
     inside, stack, whole, parts = False, "", [], []
     splits = [text[a:b] for a, b in zip(edges, edges[1:])]
     splits[-1] += b","
-    total = JS.NOTHING
+    total = SS.NOTHING
     for chunk in splits:
-        assert JS.applied(total, False, "") == (inside, stack)
-        for part, run in JS.runs(chunk, inside, stack, key):
+        assert SS.applied(total, False, "") == (inside, stack)
+        found = list(automaton.runs(chunk, inside, stack))
+        assert automaton.overhangs(inside, stack) == bool(found and found[0][0] > 1)
+        for part, run in found:
             if part == 0:
                 whole.append(run)
             elif part == 1:
                 parts.append(run)
             else:
                 parts[-1] += run
-        effect = JS.effect_of(chunk, key)
-        total = JS.composed(total, effect)
-        inside, stack = JS.applied(effect, inside, stack)
+        effect = automaton.effect(chunk)
+        total = SS.composed(total, effect)
+        inside, stack = SS.applied(effect, inside, stack)
+        assert automaton.overhangs(inside, stack) == any(part in (1, 2) for part, _ in found)
     found = {}
     for run in whole + parts:
         found.update(json.loads(b"{" + run + b"}"))
