@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 # Raw formats of the source files.
 MONEY_STRIP_PATTERN = "[$,]"
 MONTH_YEAR_PATTERN = "MM/yyyy"
-SOURCE_TIME = r"^(\d{2})-(\d{2})-(\d{4}) (\d{2}:\d{2})$"  # MM-dd-yyyy HH:mm
-SOURCE_TIME_TO_ISO = "$3-$1-$2 $4:00"
-ISO_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"
+SOURCE_TIME_LENGTH = 16  # MM-dd-yyyy HH:mm
 YES_TEXT = "YES"
 NO_TEXT = "NO"
 MONTH_NAME_PATTERN = "MMMM"
@@ -56,9 +54,17 @@ def parse_timestamp(c: str | Column) -> Column:
     """Text or timestamp -> TIMESTAMP_NTZ; NULL if it is neither the source's layout nor ISO.
 
     The source's ``MM-dd-yyyy HH:mm`` is first laid out as ISO; ISO text and timestamp columns
-    (as a reader with type inference gives) already are. One zone-free, ANSI-safe cast reads both."""
-    iso = F.regexp_replace(_col(c).cast("string"), SOURCE_TIME, SOURCE_TIME_TO_ISO)
-    return F.when(iso.rlike(ISO_TIME), iso.try_cast("timestamp_ntz"))
+    (as a reader with type inference gives) already are. Separators are looked at by their places, without
+    a regular expression; one zone-free, ANSI-safe cast reads both and rejects what is no digit."""
+    text = _col(c).cast("string")
+
+    def has(place: int, *marks: str) -> Column:
+        return F.substring(text, place, 1).isin(*marks)
+
+    source = (F.length(text) == SOURCE_TIME_LENGTH) & has(3, "-") & has(6, "-") & has(11, " ") & has(14, ":")
+    iso = has(5, "-") & has(8, "-") & has(11, " ", "T") & has(14, ":")
+    laid_out = F.concat(F.substring(text, 7, 4), F.lit("-"), F.substring(text, 1, 5), F.substring(text, 11, 6), F.lit(":00"))
+    return F.when(source, laid_out).when(iso, text).try_cast("timestamp_ntz")
 
 
 def calendar_parts(ts: str | Column, prefix: str = "transaction_") -> dict[str, Column]:

@@ -99,3 +99,33 @@ def test_money_sum_is_exact_and_order_free(spark):
     a = df.agg(R.money_sum("x")).first()[0]
     b = df.repartition(7).agg(R.money_sum("x")).first()[0]
     assert a == b == 1158160.0
+
+
+def test_money_sum_drops_nothing(spark):
+    import random
+    from decimal import Decimal
+
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        got = {df.repartition(n).agg(R.money_sum("x")).first()[0] for n in (1, 5)}
+        assert len(got) == 1
+        return got.pop()
+
+    assert total([1e18, 2.0]) == 1e18 + 2 and total([1e25, 1e25, 5.0]) == 2e25
+    assert total([float("inf"), float("nan"), None]) is None and total([float("nan"), 2.5]) == 2.5
+    assert total([0.0]) == 0.0 and total([-0.01, -0.02]) == -0.03
+    assert total([123456789.12, -123456789.11]) == 0.01 and total([1e12 + 0.25, -1e12]) == 0.25
+    rng = random.Random(3)
+    for places, top in ((2, 9 * 10**13), (6, 9 * 10**9), (9, 9 * 10**5), (2, 1000)):
+        texts = [f"{rng.choice([-1, 1]) * rng.randrange(top)}.{rng.randrange(10**places):0{places}d}" for _ in range(3000)]
+        values = [Decimal(t) for t in texts if abs(Decimal(t)) < top]
+        assert total([float(v) for v in values]) == float(sum(values))
+
+
+def test_parse_timestamp_layouts(spark):
+    texts = ["12-31-2020 23:59", "2020-12-31 23:59", "2020-12-31T23:59:07", "2020-12-31 23:59:07.5", "13-01-2020 10:00",
+             "02-30-2020 10:00", "1-02-2020 10:00", "12-31-2020T23:59", "12-31-2020 24:00", "ab-cd-efgh ij:kl", "2020-12-31",
+             "12-31-2020 23:59Z", "12-31-2020 9:30Z", "+202-12-31 23:59", "12/31/2020 23:59", " 2-31-2020 10:00", "", None]
+    got = [r[0] and r[0].isoformat() for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy(
+        "i").select(P.parse_timestamp("t")).collect()]
+    assert got == ["2020-12-31T23:59:00", "2020-12-31T23:59:00", "2020-12-31T23:59:07", "2020-12-31T23:59:07.500000"] + [None] * 14
