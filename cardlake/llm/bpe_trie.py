@@ -6,8 +6,9 @@ ends there and may follow the last token of the node where it starts. Walking th
 depth-first computes that once per node, however many words share the prefix. A token
 pair may stand side by side when merging their characters anew yields the same pair;
 such answers are remembered. A node also knows where its last token starts; the ids of a
-word are read off once, backwards from its end. Words of more than ``TRIE_CHARACTERS``
-share no trie: each is walked alone and held as two numbers a character.
+word are read off once, backwards from its end. The trie is never built: sorted words are
+its depth-first order, so the walk keeps one path, cut back to what the next word shares, and
+a word of any length takes two numbers a character.
 
 The tokenizer file (JSON: BPE with word-end suffix, byte-level characters, lower case,
 white space dropped) is a parameter; its text goes to the executors inside the task
@@ -27,7 +28,7 @@ import hashlib
 import json
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -39,12 +40,12 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.tables import python_tasks
 
-#: Distinct pieces a worker remembers between batches; beyond it the memory starts anew.
-REMEMBERED_PIECES = 150_000
-#: The same for the characters of these pieces.
+#: Distinct stretches a worker remembers between batches; beyond it the older half goes.
+REMEMBERED_PIECES = 300_000
+#: The same for their characters.
 REMEMBERED_CHARACTERS = 20_000_000
-#: Longer words are walked alone.
-TRIE_CHARACTERS = 1_000
+#: Texts are gathered to about so many characters before they are encoded: more words share more prefixes.
+CHARACTERS_AT_ONCE = 8_000_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = regex.compile(f"[^{_SPACE}]+")
@@ -90,9 +91,8 @@ class TrieBPE:
         self.alone: dict[int, bool] = {}
         self.spines: dict[int, tuple[list, list]] = {}
         self.pairs: dict[int, bool] = {}
-        self.coded: dict[str, bytes] = {}
         self.remembered: dict[str, bytes] = {}
-        self.held = 0  # characters of the remembered pieces
+        self.held = 0  # characters of the remembered stretches
 
     # -- judging tokens and token pairs by the merge ranks
     def symbols(self, token: str) -> list[str]:
@@ -150,89 +150,57 @@ class TrieBPE:
         return known
 
     # -- the trie
-    def chooser(self) -> Callable[[list[tuple[int, dict]], str, list[int] | array], tuple[int, int]]:
-        """Of the vocabulary nodes that end at a node, the token that does, and the depth where it starts."""
-        alone, pairs, width = self.alone, self.pairs, len(self.names)
-
-        def ending(at: list[tuple[int, dict]], form: str, last: list[int] | array) -> tuple[int, int]:
-            for start, place in at:
-                i = place.get(form)
-                if i is not None and (alone[i] if i in alone else self.stands_alone(i)):
-                    if start == 0:
-                        return start, i
-                    before = last[start]
-                    known = pairs.get(before * width + i)
-                    if known if known is not None else self.may_follow(before, i):
-                        return start, i
-            raise ValueError("the vocabulary does not cover this word")
-
-        return ending
-
-    def path_ids(self, start: int, i: int, last: list[int] | array, begin: list[int] | array) -> bytes:
-        """Ids of a word that ends in token ``i`` from depth ``start`` on."""
-        raw = self.raw
-        if not start:
-            return raw[i]
-        ids = [raw[i]]
-        while start:
-            ids.append(raw[last[start]])
-            start = begin[start]
-        ids.reverse()
-        return b"".join(ids)
-
-    def encode_long(self, word: str) -> bytes:
-        """Ids of one word, walked without a trie."""
-        last, begin, tokens, ending = array("i", [-1]), array("i", [0]), self.tokens, self.chooser()
-        here: list[tuple[int, dict]] = []
-        for depth, char in enumerate(word):
-            here = [(start, place[char]) for start, place in here if char in place]
-            if char in tokens:
-                here.append((depth, tokens[char]))
-            if depth == len(word) - 1:
-                break
-            start, i = ending(here, "", last)
-            last.append(i)
-            begin.append(start)
-        return self.path_ids(*ending(here, "$$", last), last, begin)
-
     def encode_words(self, words: set[str]) -> dict[str, bytes]:
         """Ids (little-endian unsigned 32-bit) of each word, written in byte characters."""
-        root: dict = {}
+        alone, pairs, width, tokens, raw = self.alone, self.pairs, len(self.names), self.tokens, self.raw
+        stands_alone, may_follow = self.stands_alone, self.may_follow
+        order = sorted(words)
         out: dict[str, bytes] = {}
-        for w in words:
-            if len(w) > TRIE_CHARACTERS:
-                out[w] = self.encode_long(w)
-                continue
-            node = root
-            for c in w:
-                node = node.setdefault(c, {})
-            node[""] = w
-        # by depth on the current path: last token, its start, and the vocabulary nodes that end there
-        last: list[int] = [-1]
-        begin: list[int] = [0]
+        # by depth on the current path: last token and its start; on the part that the next word shares, also the
+        # vocabulary nodes that end there
+        last, begin = array("i", [-1]), array("i", [0])
         open_at: list[list[tuple[int, dict]]] = [[]]
-        tokens, ending = self.tokens, self.chooser()
-
-        stack = [(1, c, child) for c, child in root.items() if c]
-        while stack:
-            depth, char, node = stack.pop()
-            del last[depth:], begin[depth:], open_at[depth:]
-            here = [(start, place[char]) for start, place in open_at[depth - 1] if char in place]
-            if char in tokens:
-                here.append((depth - 1, tokens[char]))
-            word = node.get("")
-            if word is not None:
-                out[word] = self.path_ids(*ending(here, "$$", last), last, begin)
-                if len(node) == 1:
-                    continue
-            start, i = ending(here, "", last)
-            last.append(i)
-            begin.append(start)
-            open_at.append(here)
-            depth += 1
-            for c, child in node.items():
-                if c:
-                    stack.append((depth, c, child))
+        shared = 0
+        for no, word in enumerate(order):
+            end = len(word) - 1
+            after = order[no + 1] if no + 1 < len(order) else ""
+            common, most = 0, min(end, len(after))
+            while common < most and word[common] == after[common]:
+                common += 1
+            here = open_at[shared]
+            for depth in range(shared, end + 1):
+                char = word[depth]
+                here = [(start, place[char]) for start, place in here if char in place]
+                if char in tokens:
+                    here.append((depth, tokens[char]))
+                form = "$$" if depth == end else ""
+                for start, place in here:
+                    i = place.get(form)
+                    if i is not None and (alone[i] if i in alone else stands_alone(i)):
+                        if start == 0:
+                            break
+                        before = last[start]
+                        known = pairs.get(before * width + i)
+                        if known if known is not None else may_follow(before, i):
+                            break
+                else:
+                    raise ValueError("the vocabulary does not cover this word")
+                if depth < end:
+                    last.append(i)
+                    begin.append(start)
+                    if depth < common:
+                        open_at.append(here)
+            if start:
+                ids = [raw[i]]
+                while start:
+                    ids.append(raw[last[start]])
+                    start = begin[start]
+                ids.reverse()
+                out[word] = b"".join(ids)
+            else:
+                out[word] = raw[i]
+            shared = common
+            del last[shared + 1:], begin[shared + 1:], open_at[shared + 1:]
         return out
 
     # -- texts
@@ -270,22 +238,39 @@ class TrieBPE:
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         chunks = [(_CHUNK.findall(t) if _CONTROL_SPACE.search(t) else t.split()) if t else [] for t in texts]
-        if (len(self.remembered) > REMEMBERED_PIECES or len(self.coded) > REMEMBERED_PIECES
-                or self.held > REMEMBERED_CHARACTERS):
-            self.remembered, self.coded, self.held = {}, {}, 0
-        known, coded = self.remembered, self.coded
+        gc.disable()  # nothing here holds cycles; collecting amid its growth only costs time
+        known = self.remembered
         fresh = set().union(*chunks).difference(known)
         if fresh:
-            self.held += sum(map(len, fresh))
-            gc.disable()  # tries hold no cycles; collecting amid their growth only costs time
             parts = {c: self.chunk_pieces(c) for c in fresh}
-            coded.update(self.encode_words({p for ps in parts.values() for p in ps
-                                            if p not in coded and isinstance(p, str)}))
+            pieces = {p for ps in parts.values() for p in ps if isinstance(p, str)}
+            # a plain word that is remembered as a stretch of its own need not be walked again
+            coded = {p: known[p] for p in pieces.intersection(known) if self.is_plain(p)}
+            coded.update(self.encode_words(pieces.difference(coded)))
             for c, ps in parts.items():
                 known[c] = (coded[ps[0]] if len(ps) == 1 and isinstance(ps[0], str) else b"".join(
                     [coded[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in ps]))
-            gc.enable()
-        return [b"".join([known[c] for c in cs]) for cs in chunks]
+            self.held += sum(map(len, fresh))
+        encoded = [b"".join([known[c] for c in cs]) for cs in chunks]
+        if len(known) > REMEMBERED_PIECES or self.held > REMEMBERED_CHARACTERS:
+            self.forget()
+        gc.enable()
+        return encoded
+
+    def is_plain(self, piece: str) -> bool:
+        """Whether the piece, taken as a stretch of text, is that one piece."""
+        return piece.isascii() and piece.isalpha() and piece.islower() and not (
+            self.specials is not None and self.specials.search(piece))
+
+    def forget(self) -> None:
+        """Drop the older half of what is remembered, or more until its characters fit."""
+        known = self.remembered
+        half = len(known) // 2
+        for no, chunk in enumerate(list(known)):
+            if no >= half and self.held <= REMEMBERED_CHARACTERS // 2:
+                break
+            self.held -= len(chunk)
+            del known[chunk]
 
     def decode(self, ids: bytes) -> str:
         """Token strings joined by one blank (the file names no decoder); unknown ids are skipped."""
@@ -313,6 +298,23 @@ def _read(path: str) -> str:
         return f.read()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """Ids and texts of consecutive batches, gathered to ``CHARACTERS_AT_ONCE``."""
+    ids: list[pa.Array] = []
+    texts: list[str | None] = []
+    size = 0
+    for b in batches:
+        ids.append(b.column(0))
+        new = b.column(1).to_pylist()
+        texts += new
+        size += sum(len(t) for t in new if t)
+        if size >= CHARACTERS_AT_ONCE:
+            yield pa.concat_arrays(ids), texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), texts
+
+
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` (array of int) for every row. A map over rows: no shuffle."""
@@ -322,11 +324,12 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec)
-        for b in batches:
-            ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in bpe.encode_batch(b.column(1).to_pylist())]
-            n = pa.array([len(x) for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), n, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "ids"])
+        for doc_ids, texts in _gathered(batches):
+            raw = bpe.encode_batch(texts)
+            lengths = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+            tokens = pa.array(np.frombuffer(b"".join(raw), dtype="<u4").astype(np.int32))
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), tokens)
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(lengths), ids], names=["doc_id", "n_tokens", "ids"])
 
     return named.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -358,10 +361,10 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec)
-        for b in batches:
-            ids = bpe.encode_batch(b.column(1).to_pylist())
+        for doc_ids, texts in _gathered(batches):
+            ids = bpe.encode_batch(texts)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                doc_ids, pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                 pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
