@@ -132,7 +132,9 @@ def evaluate(postfix: list[str]) -> tuple[set[str], int]:
                 stack.append(left)
             else:
                 pick = max if tok == "or" else min
-                stack.append((left[0] | right[0], pick(left[1], right[1])))
+                few, many = sorted((left[0], right[0]), key=len)
+                many.update(few)
+                stack.append((many, pick(left[1], right[1])))
         else:
             low = tok.lower()
             later = low.endswith("+")
@@ -153,33 +155,38 @@ def _goes_on(operator: str, right: str | None) -> bool:
 
 
 def read_expression(text: str, at: int) -> tuple[str, set[str], int] | None:
-    """The licence expression that starts at ``at``: the longest parsable run of tokens on
-    the line, so prose that follows the expression does not spoil it."""
+    """The licence expression that starts at ``at``: the longest parsable run of tokens on the line, so prose that
+    follows the expression does not spoil it. One pass remembers the last token that ends a whole
+    expression. Dots and hyphens behind an identifier are punctuation, and the expression ends there."""
     found = _EXPRESSION.match(text, at)
     tokens = _TOKEN.findall(found["e"]) if found else []
-    while tokens:
-        # an expression alternates operands and operators: cut before two operands in a row
-        cut, operand_before = len(tokens), False
-        for i, tok in enumerate(tokens):
-            is_operand = tok not in "()" and tok.lower() not in _OPERATORS
-            if is_operand and operand_before or tok == "(" and operand_before:
-                cut = i
+    depth, operand_due, whole = 0, True, 0
+    for i, tok in enumerate(tokens):
+        ended = False
+        if tok == "(":
+            if not operand_due:
                 break
-            if tok.lower() in _OPERATORS and not _goes_on(tok, tokens[i + 1] if i + 1 < len(tokens) else None):
-                cut = i
+            depth += 1
+        elif tok == ")":
+            if operand_due or not depth:
                 break
-            if tok == "(" or tok.lower() in _OPERATORS:
-                operand_before = False
-            else:
-                operand_before = True
-        tokens = tokens[:cut]
-        while tokens and (tokens[-1].lower() in _OPERATORS or tokens[-1] == "("):
-            tokens.pop()
-        postfix = to_postfix(tokens)
-        if postfix:
-            return (" ".join(tokens), *evaluate(postfix))
-        tokens = tokens[:-1]
-    return None
+            depth -= 1
+        elif tok.lower() in _OPERATORS:
+            if operand_due or not _goes_on(tok, tokens[i + 1] if i + 1 < len(tokens) else None):
+                break
+            operand_due = True
+        else:
+            if not operand_due:
+                break
+            operand_due = False
+            tokens[i] = tok.rstrip(".-")
+            ended = tokens[i] != tok
+        if not depth and not operand_due:
+            whole = i + 1
+        if ended:
+            break
+    postfix = to_postfix(tokens[:whole]) if whole else None
+    return (" ".join(tokens[:whole]), *evaluate(postfix)) if postfix else None
 
 
 @cache

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -66,6 +67,23 @@ def test_license_expressions():
     assert LS.to_postfix(["a", "b"]) is None and LS.to_postfix(["(", "a"]) is None
 
 
+def test_license_expressions_of_any_length():
+    start = time.time()
+    got = LS.scan("SPDX-License-Identifier: " + "(a-1 and " * 100_000 + "mit")
+    assert got["expressions"] == [] and got["n_words"] == 300_000 + 4
+    many = LS.scan("SPDX-License-Identifier: " + " or ".join(f"a-{i}" for i in range(60_000)) + " and more prose follows")
+    assert len(many["labels"].split(",")) == 60_000
+    nested = LS.scan("SPDX-License-Identifier: " + "(" * 50_000 + "MIT" + " or isc)" * 50_000)
+    assert nested["labels"] == "isc,mit"
+    assert time.time() - start < 20
+
+
+def test_punctuation_behind_an_identifier():
+    for text, labels in (("MIT.", "mit"), ("MIT-->", "mit"), ("MIT OR Apache-2.0.", "apache-2,mit"), ("GPL-2.0+.", "gpl-2"),
+                         ("(MIT OR ISC).", "isc,mit"), ("MIT. and BSD-3-Clause is not meant", "mit"), ("Custom-1.-", "custom-1")):
+        assert LS.scan("SPDX-License-Identifier: " + text)["labels"] == labels
+
+
 def test_license_expression_ends_before_prose():
     got = LS.scan("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause and more prose follows here")
     assert got["expressions"] == ["( MIT OR Apache-2.0 ) AND BSD-3-Clause"]
@@ -157,4 +175,4 @@ def test_empty_table(spark, op):
 
 
 def test_registered():
-    assert [q.split("_")[0] for q in queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [q.split("_")[0] for q in queries()] == [f"op{i}" for i in range(1, 14)]
