@@ -59,6 +59,8 @@ RULES = (
     Rule("url_login", r"://[A-Za-z0-9._~-]{1,64}:[A-Za-z0-9._~!-]{3,64}@"),
 )
 REDACTED = "[SECRET]"
+#: Characters of a block of a text that is cut at many places.
+BLOCK = 1024
 
 Query = frozenset  # of clauses (frozensets of trigrams); an empty clause is always true
 ALWAYS: Query = frozenset({frozenset()})
@@ -268,28 +270,51 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
         "found", lambda s: s["no"].isin(base))), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
 
+def _united(found: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the spans' union, as disjoint ``start, end`` in order. With starts and ends sorted each on their own, the
+    k-th start begins a new stretch if all k spans that start before it have ended: if the k-th end is not behind it."""
+    def stretches(starts: Column, ends: Column) -> Column:
+        last = F.size(starts)
+        opens = F.filter(F.sequence(F.lit(0), last), lambda k: (k == 0) | (k == last) | (F.get(starts, k) >= F.get(ends, k - 1)))
+        return _let(opens, lambda at: F.transform(F.slice(at, 1, F.size(at) - 1), lambda k, i: F.struct(
+            F.get(starts, k).cast("int").alias("start"), F.get(ends, F.get(at, i + 1) - 1).cast("int").alias("end"))))
+
+    united = _let(F.array_sort(F.transform(found, lambda s: s["start"])), lambda starts: _let(
+        F.array_sort(F.transform(found, lambda s: s["end"])), lambda ends: stretches(starts, ends)))
+    return F.when(F.size(found) > 0, _let(united, use))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters [start, end) of a text given as blocks of ``BLOCK`` characters: the time does not grow with ``start``."""
+    def within(at: Column, first: Column, characters: Column) -> Column:
+        return F.coalesce(F.substring(F.get(blocks, at), first, characters), F.lit(""))
+
+    a, b = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    several = F.concat(within(a, start % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, a + 2, b - a - 1), ""),
+                       within(b, F.lit(1), end % BLOCK))
+    return F.when(a == b, within(a, start % BLOCK + 1, end - start)).otherwise(several)
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, with every found secret in the text replaced.
     All spans are those ``secret_scan`` finds in the original text; overlapping ones are replaced as
-    one. A null text stays null."""
+    one. A null text stays null. The work follows the text and its spans, not their product: the text is
+    cut into blocks once, and what stays between two spans is taken from its blocks."""
     rows = _looked_up(docs, rules, id_col, text_col)
     text = F.col("text")
-    merged = F.aggregate(_found(rules), F.array().cast("array<struct<start:int,end:int>>"), lambda done, s: _let(
-        F.try_element_at(done, F.lit(-1)), lambda top: F.when(
-            top.isNotNull() & (s["start"] < top["end"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                top["start"].alias("start"), F.greatest(top["end"], s["end"].cast("int")).alias("end"))))).otherwise(
-            F.concat(done, F.array(F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))))))
 
     def replaced(spans: Column) -> Column:
-        def piece(s: Column, i: Column) -> Column:
-            at = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(F.lit(0))
-            return F.concat(F.substring(text, at + 1, s["start"] - at), F.lit(REDACTED))
+        def all_of(blocks: Column) -> Column:
+            def piece(s: Column, i: Column) -> Column:
+                at = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(F.lit(0))
+                return F.concat(_cut(blocks, at, s["start"]), F.lit(REDACTED))
+
+            rest = _cut(blocks, F.element_at(spans, -1)["end"], F.length(text))
+            return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
 
-        rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
-        return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), rest)).otherwise(text)
+        return _let(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0)), all_of)
 
-    text_out = _let(merged, replaced)
+    text_out = F.coalesce(_let(_found(rules), lambda found: _united(found, replaced)), text)
     clean = F.when(F.col(f"doc.`{text_col}`").isNotNull(), text_out).alias(text_col)
     return rows.select(*[clean if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])

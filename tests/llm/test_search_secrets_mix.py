@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 
 import duckdb
 import pytest
@@ -22,7 +23,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(oracle_sql()[name])
     cols = [c[0] for c in res.description]
@@ -106,6 +107,25 @@ def test_redact_leaves_no_character_of_a_span(spark):
         assert r.text == want + texts[r.doc_id][at:]
 
 
+def test_redact_long_texts_in_time(spark):
+    """A list of hashes, and spans of several rules that overlap in chains over block edges."""
+    hashes = "é ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(30_000))  # 1 MB
+    chains = " ".join("password=" + "deadbeef" * (i % 300 + 2) + "AKIA" + "A" * 20 + "-x" for i in range(60))
+    texts = [hashes, chains, "x" * 5000 + chains + "y" * 3000, "é" * 1024 + "deadbeef" * 128 + "é" * 1024]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r.text for r in SI.redact(df).collect()}
+    assert time.time() - start < 60
+    assert got[0] == "é ".join([SI.REDACTED] * 30_000)
+    for i, text in enumerate(texts):
+        want, at = [], 0
+        for a, _, b, _ in spans_of(text):
+            if a >= at:
+                want += [text[at:a], SI.REDACTED]
+            at = max(at, b)
+        assert got[i] == "".join([*want, text[at:]])
+
+
 def test_trigram_queries():
     q = {r.kind: SI.trigram_query(r.pattern) for r in SI.RULES}
     assert q["hex"] == SI.ALWAYS
