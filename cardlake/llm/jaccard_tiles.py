@@ -1,6 +1,8 @@
 """N-gram Jaccard join: size-banded tiles, bitmap signatures, exact intersections.
 
-1. Every document becomes the sorted set of its 5-word shingle hashes. Documents of equal
+1. Every document becomes the sorted set of its 5-word shingle hashes. Words are numbered by a 64-bit
+   BLAKE2 digest of their bytes, so no two texts can be written whose words differ and numbers agree, and a
+   shingle's hash is a polynomial of five such numbers. Documents of equal
    sets (copies) are one class from here on, named by a digest of the set.
 2. Two sets that reach the threshold share a shingle among the first ``n - ceil(t n) + 1``
    of each, in any fixed order of all shingles. The order here is by hash, with the
@@ -19,7 +21,8 @@
 
 No pair list leaves a tile. A tile of step 2 holds two blocks at most, and the task that reads the
 shingles' lists holds no more of one list than that; the tiles of step 4 hold two blocks dealt by
-hash, so about that many. The rows of a tile table still grow with the square of a long list over
+hash, so about that many, and as many more blocks are made as bound the shingles of a block
+(``BLOCK_SHINGLES``; a longer text is a block of its own at most). The rows of a tile table still grow with the square of a long list over
 the block size, on Spark's disk. Two things are
 broadcast: the list of most frequent shingles, at most ``COMMON_SHINGLES`` numbers, which
 steers cost, never results; and the results of the classes with very many copies, of which
@@ -45,11 +48,14 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.components import components
 from cardlake.llm.tables import parallelism, python_tasks, written
-from cardlake.llm.words import distinct, mix, utf8, window_hashes, word_hashes, word_spans
+from cardlake.llm.words import distinct, mix, utf8, window_hashes
 
 WORDS = 5
 PERCENT = 80
 BLOCK = 512
+BLOCK_SHINGLES = 2_000_000
+#: Words, and bytes of them, that a worker remembers the numbers of.
+REMEMBERED_WORDS, REMEMBERED_BYTES = 300_000, 16 << 20
 COMMON_SHINGLES = 1 << 17
 HOT_PARTS = 4
 COMMON_FROM = 64  # classes that make a shingle common
@@ -63,16 +69,33 @@ _SETS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64(
 _SETS_DDL = "kind int, doc_id long, n long, digest binary, bitmap binary, text_key long"
 
 
+class WordNumbers(dict):
+    """The number of each word: the first 64 bits of a digest of its bytes, remembered up to a bound."""
+
+    held = 0
+
+    def __missing__(self, word: bytes) -> int:
+        number = int.from_bytes(hashlib.blake2b(word, digest_size=8, person=b"word numbers").digest(), "little")
+        if len(self) >= REMEMBERED_WORDS or self.held > REMEMBERED_BYTES:
+            self.clear()
+            self.held = 0
+        self.held += len(word)
+        self[word] = number
+        return number
+
+
+_numbers = WordNumbers()
+
+
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word windows; a shorter text is one window."""
-    raw = utf8(text, lower_az=True)
-    starts, ends = word_spans(raw)
-    if not len(starts):
+    words = utf8(text, lower_az=True).split()  # runs outside the ASCII blanks
+    if not words:
         return np.zeros(0, dtype=np.uint64)
-    words = word_hashes(raw, starts, ends)
+    numbers = np.fromiter(map(_numbers.__getitem__, words), dtype=np.uint64, count=len(words))
     if len(words) < size:
-        return mix(window_hashes(words, len(words)) + np.uint64(len(words)))
-    return distinct(window_hashes(words, size))
+        return mix(window_hashes(numbers, len(words)) + np.uint64(len(words)))
+    return distinct(window_hashes(numbers, size))
 
 
 def digest(hashes: np.ndarray) -> bytes:
@@ -421,10 +444,10 @@ def verified(docs: DataFrame, groups: DataFrame, classes: DataFrame, size: int,
     """``digest, tie, links`` of the classes with links, from the tiles of candidate groups."""
     ratio = math.log(100 / percent)
     members = groups.join(classes, groups.node == classes.digest).select(
-        "component", "digest", "rep", "rep_key", "copies", F.floor(F.log(F.col("n")) / F.lit(ratio)).cast("int").alias("band"))
+        "component", "digest", "rep", "rep_key", "copies", "n", F.floor(F.log(F.col("n")) / F.lit(ratio)).cast("int").alias("band"))
     # blocks per band of a group; bands are at most a few hundred, whatever the group's size
     blocks = members.groupBy("component", "band").agg(
-        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("k")).groupBy("component").agg(
+        F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("k")).groupBy("component").agg(
         F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias("blocks"))
     part = F.pmod(F.xxhash64("digest"), F.col("blocks")[F.col("band")].cast("long"))
     placed = members.join(blocks, "component").withColumn("part", part)

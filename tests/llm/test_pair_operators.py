@@ -146,6 +146,38 @@ def test_one_id_over_many_texts_brings_one_text_a_class(spark):
     assert sorted((r.n_shingles, r.n_links) for r in links) == sorted((n, k) for n, _, k in want.values())
 
 
+def test_words_of_equal_polynomials_are_not_one(spark):
+    """Two words whose hashes agree under every polynomial modulo 2**64 with an odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    texts = [f"one two three four {w} five six" for w in (a, b)]
+    got = JT.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.n_links) for r in got} == {(0, 0, 0), (1, 1, 0)}
+
+
+def test_very_long_texts_are_cut_by_their_shingles(spark, monkeypatch):
+    """Near copies of a long text meet although a block holds the shingles of one of them only."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    texts = []
+    for i in range(12):
+        w = list(words)
+        for _ in range(100):
+            w[rng.randrange(len(w))] = f"x{i}"
+        texts.append(" ".join(w))
+    monkeypatch.setattr(JT, "BLOCK_SHINGLES", 20_000)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in JT.jaccard_join(df).collect()}
+    assert got == {i: (0, 11) for i in range(12)}
+
+
+def test_word_numbers_have_a_bound(monkeypatch):
+    monkeypatch.setattr(JT, "REMEMBERED_WORDS", 100)
+    numbers = JT.WordNumbers()
+    first = [numbers[str(i).encode()] for i in range(1000)]
+    assert len(numbers) <= 100 and [numbers[str(i).encode()] for i in range(1000)] == first and len(set(first)) == 1000
+
+
 def test_bitmap_bound_never_misses():
     rng = np.random.default_rng(1)
     sets = []
