@@ -118,6 +118,9 @@ CLEANERS = {
     "fraud_labels": clean_fraud_labels,
 }
 
+# The column that names a row in each raw table.
+KEYS = {"users": "id", "cards": "id", "transactions": "id", "mcc_codes": "mcc", "fraud_labels": "transaction_id"}
+
 TYPED = {
     "users": users_typed,
     "cards": cards_typed,

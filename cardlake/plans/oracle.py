@@ -325,6 +325,17 @@ def _reject_sql(only: str | None = None, source: str | None = None) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+_ROW_KEYS = {"users": "id", "cards": "id", "transactions": "id", "mcc_codes": "mcc", "fraud_labels": "transaction_id"}
+
+
+def _reject_rows_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{col}' AS column_name, CAST({_ROW_KEYS[table]} AS VARCHAR) AS row_key, "
+        f"CAST({col} AS VARCHAR) AS raw_text FROM {src} "
+        f"WHERE {col} IS NOT NULL AND trim(CAST({col} AS VARCHAR)) <> '' AND ({typed}) IS NULL"
+        for table, (src, cols) in _REJECT_COLUMNS.items() for col, typed in cols.items())
+
+
 _FRAUD_RATE = """
 SELECT merchant_state, category, CAST(sum(is_fraud) AS BIGINT) AS fraud_transactions,
   count(is_fraud) AS labelled_transactions, avg(is_fraud) AS fraud_rate
@@ -436,7 +447,14 @@ SELECTS = {
         "GROUP BY transaction_month, transaction_month_name"
     ),
 }
-SELECTS["reject_report"] = _reject_sql()
+SELECTS["reject_report"] = SELECTS["reject_report_observed"] = _reject_sql()
+SELECTS["reject_rows"] = _reject_rows_sql()
+SELECTS["table_published"] = "SELECT * FROM gold_users"
+SELECTS["measure_distinct_customers_by_month"] = (
+    "SELECT CAST(year(transaction_date) AS INT) AS transaction_year, CAST(month(transaction_date) AS INT) AS transaction_month, "
+    "count(DISTINCT client_id) AS distinct_customers, 'month' AS span FROM gold_transactions WHERE client_id IS NOT NULL "
+    "GROUP BY 1, 2 UNION ALL SELECT CAST(NULL AS INT), CAST(NULL AS INT), count(DISTINCT client_id), 'all' FROM gold_transactions"
+)
 
 _GOLD_USERS_REST = (
     "retirement_age, birth_year, birth_month, address, latitude, longitude, per_capita_income, "

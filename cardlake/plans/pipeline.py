@@ -17,8 +17,9 @@ Gold transactions is the column projection of gold fraud monitoring (same
 rows, same key, minus the two label columns), so it is served as a view over
 that table instead of being stored twice.
 
-A failed or lost task simply recomputes: every write is a full overwrite of
-its own folder, so re-running a stage is idempotent.
+A failed or lost task simply recomputes: every write is a new version in a folder of its own, and the
+table's name is turned to it once it is whole, so re-running a stage is idempotent and readers never see
+half a table. Statistics of the join keys are taken after each layer of ``run``.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cardlake.operators import gold as G
+from cardlake.operators import quality as Q
 from cardlake.operators import silver as S
 from cardlake.plans import serving as SV
 from cardlake.plans import tables as T
@@ -50,6 +53,8 @@ class PipelineConfig:
     schema: str = "cardlake"   # catalog schema for the table names
     buckets: int | None = None  # hash buckets of uniquely keyed tables (default: shuffle partitions)
     concurrent_writes: int = 4  # independent table writes of one layer submitted as concurrent jobs
+    rejects: bool = False      # count rejects in the silver jobs, and keep the rejected values
+    statistics: bool = True    # row counts and key statistics after each layer of ``run``
 
 
 def _name(cfg: PipelineConfig, layer: str, table: str) -> str:
@@ -74,8 +79,8 @@ GOLD_CLUSTER = {"fraud_monitoring": ("is_fraud", "client_id")}
 def _write(df: DataFrame, cfg: PipelineConfig, layer: str, table: str, key: str | None) -> str:
     name = _name(cfg, layer, table)
     cluster = GOLD_CLUSTER.get(table, ()) if layer == "gold" else ()
-    T.overwrite_table(df, name, f"{cfg.out_dir}/{layer}/{table}",
-                      bucket_by=(_buckets(df, cfg, table), key) if key else None, cluster_by=cluster)
+    T.publish_table(df, name, f"{cfg.out_dir}/{layer}/{table}",
+                    bucket_by=(_buckets(df, cfg, table), key) if key else None, cluster_by=cluster)
     return name
 
 
@@ -97,11 +102,30 @@ def write_bronze(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineCo
 
 def write_silver(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
     T.create_schema(spark, cfg.schema, f"{cfg.out_dir}/_schema")
+    seen = {t: Q.observed(raw[t], S.TYPED[t](), t) for t in S.CLEANERS} if cfg.rejects else {}
+    source = {t: seen[t][0] if seen else raw[t] for t in S.CLEANERS}
     jobs = {
-        t: (lambda t=t: _write(S.CLEANERS[t](raw[t]), cfg, "silver", t, SILVER_KEYS[t]))
+        t: (lambda t=t: _write(S.CLEANERS[t](source[t]), cfg, "silver", t, SILVER_KEYS[t]))
         for t in S.CLEANERS
     }
-    return _run_all(jobs, cfg)
+    names = _run_all(jobs, cfg)
+    if seen:
+        write_rejects(spark, raw, {t: observation for t, (_, observation) in seen.items()}, cfg)
+    return names
+
+
+def write_rejects(spark: SparkSession, raw: dict[str, DataFrame], seen: dict[str, Observation],
+                  cfg: PipelineConfig) -> tuple[str, str]:
+    """Tables ``silver_rejects`` (counts, as the silver jobs observed them) and ``silver_quarantine`` (the rejected
+    values). Raw is read again only for tables with rejects, and of those only the columns that have any."""
+    counts = reduce(DataFrame.unionByName, [Q.observed_counts(spark, o, t) for t, o in seen.items()])
+    rejected = _write(counts, cfg, "silver", "rejects", None)
+    rows = spark.createDataFrame([], "table_name string, column_name string, row_key string, raw_text string")
+    for t, observation in seen.items():
+        typed = {c: e for c, e in S.TYPED[t]().items() if observation.get[c]}
+        if typed:
+            rows = rows.unionByName(Q.reject_rows(raw[t], typed, t, S.KEYS[t]))
+    return rejected, _write(rows, cfg, "silver", "quarantine", None)
 
 
 def read_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
@@ -131,12 +155,19 @@ def write_gold(spark: SparkSession, silver_names: dict[str, str], cfg: PipelineC
 def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: PipelineConfig,
         with_bronze: bool = False) -> dict[str, DataFrame]:
     """Raw frames in, persisted gold tables out (as DataFrames), serving views
-    registered. ``with_bronze`` first persists the raw frames as bronze tables
+    in the catalog (created if absent) and in the session. ``with_bronze`` first persists the raw frames as bronze tables
     and cleans from those."""
     if with_bronze:
         raw = read_tables(spark, write_bronze(spark, raw, cfg))
     silver_names = write_silver(spark, raw, cfg)
+    if cfg.statistics:
+        for t, name in silver_names.items():
+            T.analyze(spark, name, (S.KEYS[t],))
     gold_names = write_gold(spark, silver_names, cfg)
+    if cfg.statistics:
+        for t in GOLD_KEYS:
+            T.analyze(spark, gold_names[t])
     gold = read_tables(spark, gold_names)
+    SV.create_views(spark, gold_names, cfg.schema)
     SV.register_views(spark, gold)
     return gold

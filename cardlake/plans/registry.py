@@ -8,10 +8,12 @@ its work grows with the input. The matching DuckDB SQL lives in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.operators import gold as G
+from cardlake.operators import quality
 from cardlake.operators import silver as S
 from cardlake.operators.dedup import dedup_by_key
 from cardlake.operators.quality import reject_counts
@@ -53,12 +55,19 @@ def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = _layers(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        quality.reject_rows(L.raw(name), typed(), name, S.KEYS[name]) for name, typed in S.TYPED.items()])
+
+
 def spark_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in ("users", "cards", "transactions", "mcc_codes", "fraud_labels"):
         q[f"silver_{name}"] = _silver(name)
     q["dedup_transactions"] = lambda spark, d: dedup_by_key(_layers(spark, d).raw("transactions"), "id")
     q["reject_report"] = reject_report
+    q["reject_rows"] = reject_rows
     q["card_totals"] = lambda spark, d: G.card_totals(_layers(spark, d).silver("cards"))
     q["gold_users"] = _gold("users")
     q["gold_transactions"] = _gold("transactions")
@@ -85,6 +94,7 @@ def spark_queries() -> dict[str, Query]:
     q["measure_distinct_customers"] = _gold(
         "users", lambda df: df.agg(M.distinct_customers().alias("total_customers"))
     )
+    q["measure_distinct_customers_by_month"] = _gold("transactions", M.distinct_customers_by_month)
     for name, fn in RP.REPORTS.items():
         q[name] = _report(fn)
     q.update(ROUNDTRIP_QUERIES)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardlake.operators import silver as S
 from cardlake.operators.quality import reject_counts
+from cardlake.plans import pipeline as PL
 from cardlake.plans import serving as SV
 from cardlake.plans import tables as T
 from cardlake.plans.layers import Layers
@@ -84,6 +85,24 @@ def reject_report_files(spark: SparkSession, d: str) -> DataFrame:
     return reject_counts(raw, S.users_typed(), "users")
 
 
+def reject_report_observed(spark: SparkSession, d: str) -> DataFrame:
+    """Rejects counted by the jobs that write silver, without another pass over raw."""
+    schema = f"{SCRATCH_SCHEMA}_{uuid.uuid4().hex[:10]}"
+    cfg = PL.PipelineConfig(out_dir=scratch_path(spark, "observed"), schema=schema, rejects=True)
+    PL.write_silver(spark, {name: _raw(spark, d, name) for name in S.CLEANERS}, cfg)
+    return spark.table(f"{schema}.silver_rejects")
+
+
+def table_published(spark: SparkSession, d: str) -> DataFrame:
+    """Silver users published under a name, then gold users: rows and columns of the second version."""
+    L = Layers.from_driver_tables(spark, d)
+    _scratch_schema(spark)
+    name, path = _table_name("published"), scratch_path(spark, "table_published")
+    T.publish_table(L.silver("users"), name, path)
+    T.publish_table(L.gold("users"), name, path)
+    return spark.table(name)
+
+
 _TIME_PATTERN = "MM-dd-yyyy HH:mm"
 
 
@@ -269,6 +288,8 @@ ROUNDTRIP_QUERIES = {
     "ingest_csv_cards_extra": ingest_csv_cards_extra,
     "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
     "reject_report_files": reject_report_files,
+    "reject_report_observed": reject_report_observed,
+    "table_published": table_published,
     "silver_transactions_iso": silver_transactions_iso,
     "silver_transactions_inferred": silver_transactions_inferred,
     "raw_landing_csv": raw_landing_csv("users"),

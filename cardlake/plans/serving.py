@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import rules as R
 from cardlake.operators.gold import FRAUD_COLUMNS_A, UTILIZATION_COLUMNS
+from cardlake.plans import tables as T
 
+# Columns of the spending view.
 SPENDING_COLUMNS = [
     "transaction_id", "client_id", "card_id", "transaction_timestamp", "transaction_date", "amount",
     "transaction_amount", "use_chip", "merchant_city", "merchant_state", "mcc", "category",
@@ -60,6 +62,32 @@ def register_views(spark: SparkSession, gold: dict[str, DataFrame]) -> list[str]
     return list(VIEWS)
 
 
+def _age_band_sql(edges: tuple[int, ...] = R.DEFAULT_AGE_EDGES) -> str:
+    whens = [f"WHEN current_age < {edges[0]} THEN '<{edges[0]}'"]
+    whens += [f"WHEN current_age < {high} THEN '{low}-{high - 1}'" for low, high in zip(edges, edges[1:])]
+    return f"CASE {' '.join(whens)} WHEN current_age IS NOT NULL THEN '{edges[-1]}+' END"
+
+
+def view_selects() -> dict[str, tuple[str, str]]:
+    """The projections of ``VIEWS`` as SQL: view -> (gold table, select list)."""
+    total_cards = [f"CAST({c} AS INT) AS {c}" if c == "total_cards" else c for c in UTILIZATION_COLUMNS]
+    return {
+        "vw_customer_segmentation": ("users", (
+            "id AS customer_id, current_age, gender, yearly_income, total_debt, credit_score, debt_to_income_ratio, "
+            f"{_age_band_sql()} AS age_band, customer_segment")),
+        "vw_spending_transactions": ("transactions", ", ".join(SPENDING_COLUMNS)),
+        "vw_credit_utilization": ("credit_utilization", ", ".join(total_cards)),
+        "vw_fraud_monitoring": ("fraud_monitoring", ", ".join(FRAUD_COLUMNS_A)),
+    }
+
+
+def create_views(spark: SparkSession, gold_names: dict[str, str], schema: str) -> list[str]:
+    """The four serving views in the catalog, over the stored gold tables; those that exist stay. They read
+    whatever the gold names stand for, so a later run needs no new views."""
+    return [T.create_view(spark, f"{schema}.{view}", f"SELECT {columns} FROM {gold_names[table]}")
+            for view, (table, columns) in view_selects().items()]
+
+
 def ad_hoc(spark: SparkSession, view: str, limit: int = AD_HOC_RESULT_LIMIT) -> DataFrame:
     """``SELECT *`` over a serving view with the ad-hoc result limit (the
     limit is the feature here: an interactive preview, not a full read)."""

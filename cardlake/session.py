@@ -25,6 +25,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.cbo.enabled": "true",  # row counts of analyzed tables decide joins
     "spark.ui.showConsoleProgress": "false",
     # keep a bucketed table's layout on scan even without a join above it, so
     # a projection of a bucketed table writes one file per bucket
