@@ -1,8 +1,8 @@
 """N-gram Jaccard join: size-banded tiles, bitmap signatures, exact intersections.
 
-1. Every document becomes the sorted set of its 5-word shingle hashes. Words are numbered by a 64-bit
-   BLAKE2 digest of their bytes, so no two texts can be written whose words differ and numbers agree, and a
-   shingle's hash is a polynomial of five such numbers. Documents of equal
+1. Every document becomes the sorted set of its 5-word shingle hashes. Words are numbered by a seeded
+   64-bit hash of their bytes that mixes every step (a polynomial modulo 2**64 gives some pairs of words one
+   number), and a shingle's hash is a polynomial of five such numbers. Documents of equal
    sets (copies) are one class from here on, named by a digest of the set.
 2. Two sets that reach the threshold share a shingle among the first ``n - ceil(t n) + 1``
    of each, in any fixed order of all shingles. The order here is by hash, with the
@@ -45,6 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from cardlake.llm.components import components
 from cardlake.llm.tables import parallelism, python_tasks, written
@@ -54,8 +55,7 @@ WORDS = 5
 PERCENT = 80
 BLOCK = 512
 BLOCK_SHINGLES = 2_000_000
-#: Words, and bytes of them, that a worker remembers the numbers of.
-REMEMBERED_WORDS, REMEMBERED_BYTES = 300_000, 16 << 20
+WORD_SEED = 0x5851F42D4C957F2D
 COMMON_SHINGLES = 1 << 17
 HOT_PARTS = 4
 COMMON_FROM = 64  # classes that make a shingle common
@@ -69,30 +69,12 @@ _SETS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64(
 _SETS_DDL = "kind int, doc_id long, n long, digest binary, bitmap binary, text_key long"
 
 
-class WordNumbers(dict):
-    """The number of each word: the first 64 bits of a digest of its bytes, remembered up to a bound."""
-
-    held = 0
-
-    def __missing__(self, word: bytes) -> int:
-        number = int.from_bytes(hashlib.blake2b(word, digest_size=8, person=b"word numbers").digest(), "little")
-        if len(self) >= REMEMBERED_WORDS or self.held > REMEMBERED_BYTES:
-            self.clear()
-            self.held = 0
-        self.held += len(word)
-        self[word] = number
-        return number
-
-
-_numbers = WordNumbers()
-
-
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word windows; a shorter text is one window."""
     words = utf8(text, lower_az=True).split()  # runs outside the ASCII blanks
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    numbers = np.fromiter(map(_numbers.__getitem__, words), dtype=np.uint64, count=len(words))
+    numbers = np.fromiter([xxh3_64_intdigest(w, WORD_SEED) for w in words], dtype=np.uint64, count=len(words))
     if len(words) < size:
         return mix(window_hashes(numbers, len(words)) + np.uint64(len(words)))
     return distinct(window_hashes(numbers, size))

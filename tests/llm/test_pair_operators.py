@@ -171,13 +171,6 @@ def test_very_long_texts_are_cut_by_their_shingles(spark, monkeypatch):
     assert got == {i: (0, 11) for i in range(12)}
 
 
-def test_word_numbers_have_a_bound(monkeypatch):
-    monkeypatch.setattr(JT, "REMEMBERED_WORDS", 100)
-    numbers = JT.WordNumbers()
-    first = [numbers[str(i).encode()] for i in range(1000)]
-    assert len(numbers) <= 100 and [numbers[str(i).encode()] for i in range(1000)] == first and len(set(first)) == 1000
-
-
 def test_bitmap_bound_never_misses():
     rng = np.random.default_rng(1)
     sets = []
