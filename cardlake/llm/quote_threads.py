@@ -1,4 +1,4 @@
-"""Quotation linking: who quotes whom in a conversation, and messages in reply order without quotes.
+"""Quotation linking: who quotes whom in a conversation, and conversations in reply order without quotes.
 
 A line that starts with ``>`` marks is quoted; the number of marks is its level. Runs of lines
 of one level are passages. A message's own lines, and its whole own text, are hashed after
@@ -8,10 +8,13 @@ one. The parent of a message is the origin of its level-1 passages (whole passag
 single lines, later origins before earlier). Parents are followed to the message that opened
 the thread by pointer doubling, so deep chains take few rounds.
 
-Sorting a conversation by ``thread_turn, turn`` puts every reply after what it answers, thread by thread.
+A message's ``position`` is its place in the reply order of its conversation: thread by thread, every reply after
+what it answers (``thread_turn, turn``, then role and text). Positions come from a range partition of all messages
+and the counts before each range, so a conversation of any size is never sorted in one task. ``conversations``
+puts the messages without their quotes together in that order, in pieces of bounded length.
 
 Defined results: a null or empty text is an empty body. Messages whose conversation or turn is
-null link with nothing. Repeated rows are separate messages of equal position. A message that
+null link with nothing and have no position; each is a piece of its own. Repeated rows are separate messages of equal position. A message that
 quotes nothing known opens its own thread. Lines that only announce a quotation (``On ... wrote:``)
 go with the quotation. Other columns of the input are not read. An empty table gives no rows.
 """
@@ -23,13 +26,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardlake.llm.tables import python_tasks, written
+from cardlake.llm.tables import parallelism, python_tasks, written
 
 _QUOTED = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)(.*)")
-_ANNOUNCED = re.compile(r"\s*On\b.{1,200}\bwrote:\s*", re.IGNORECASE)
+_ANNOUNCED = re.compile(r"\s*On\b.+\bwrote:\s*", re.IGNORECASE)
+#: Messages of a piece of a conversation at most.
+PIECE = 256
 
 
 def normalised(text: str) -> str:
@@ -85,7 +90,7 @@ _QUOTES = pa.list_(pa.struct([("no", pa.int32()), ("level", pa.int32()), ("rough
 
 def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                     text_col: str = "text") -> DataFrame:
-    """``conv_id, turn, role, body, n_quotes, n_linked, parent_turn, thread_turn`` for every input row."""
+    """``conv_id, turn, role, body, n_quotes, n_linked, parent_turn, thread_turn, position`` for every input row."""
     python_tasks(messages.sparkSession)
     named = messages.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
@@ -125,6 +130,34 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
         if moved.where("moved").isEmpty():
             break
     known = links.join(roots, ["conv_id", "turn"], "left")
-    return parsed.join(known, ["conv_id", "turn"], "left").select(
+    return _placed(parsed.join(known, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "body", "n_quotes", F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
-        "parent_turn", F.coalesce("root", "turn").alias("thread_turn"))
+        "parent_turn", F.coalesce("root", "turn").alias("thread_turn")))
+
+
+def _placed(linked: DataFrame) -> DataFrame:
+    """With ``position``: numbers within ranges of the order, and what of a conversation lies in the ranges before."""
+    order = ("conv_id", "thread_turn", "turn", "role", "body_key")
+    has_place = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    keyed = linked.withColumn("body_key", F.xxhash64("body"))
+    # ids ascend within a range and from one range to the next
+    dealt = written(keyed.where(has_place).repartitionByRange(parallelism(linked.sparkSession), *order).sortWithinPartitions(
+        *order).withColumn("at", F.monotonically_increasing_id()).withColumn("stretch", F.shiftright("at", 33)), "reply-order")
+    before = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("conv_id", "stretch").agg(F.min("at").alias("first"), F.count("*").alias("c")).withColumn(
+        "offset", F.coalesce(F.sum("c").over(before), F.lit(0)) - F.col("first")).drop("first", "c")
+    columns = [*linked.columns, "position"]
+    inside = dealt.join(starts, ["conv_id", "stretch"]).withColumn("position", F.col("at") + F.col("offset")).select(*columns)
+    return inside.unionByName(linked.where(~has_place).withColumn("position", F.lit(None).cast("long")).select(*columns))
+
+
+def conversations(linked: DataFrame, piece: int = PIECE) -> DataFrame:
+    """``conv_id, thread_turn, piece, messages`` from the rows of ``link_quotations``: each thread's messages without
+    quotes in reply order, ``piece`` of them a row at most; pieces of a conversation ascend in that order."""
+    message = F.struct("position", "turn", "role", "body", "parent_turn")
+    has_place = F.col("position").isNotNull()
+    placed = linked.where(has_place).groupBy(
+        "conv_id", "thread_turn", F.floor(F.col("position") / F.lit(piece)).alias("piece")).agg(
+        F.sort_array(F.collect_list(message)).alias("messages"))
+    return placed.unionByName(linked.where(~has_place).select(
+        "conv_id", "thread_turn", F.lit(0).cast("long").alias("piece"), F.array(message).alias("messages")))

@@ -1,6 +1,7 @@
 """Quality classifier, quotation linking and the corpus pipeline."""
 
 import json
+import random
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as CP
 from cardlake.llm import weak_labels as WL
-from cardlake.llm.quote_threads import link_quotations, parse
+from cardlake.llm.quote_threads import conversations, link_quotations, parse
 from cardlake.llm.tables import table, written
 
 from .conftest import ODD_TEXTS
@@ -140,3 +141,81 @@ def test_quotations_link_to_their_origin(spark):
     chain = [r for r in got if r.conv_id == 9]
     assert all(r.thread_turn == 0 for r in chain)
     assert link_quotations(df.where(F.lit(False))).collect() == []
+
+
+def threads(rows):
+    """Plain Python over (conv, turn, role, text): body, quotes, linked quotes, parent, thread, in reply order."""
+    said = {}
+    parsed = [(c, t, r, *parse(x)) for c, t, r, x in rows]
+    flat = lambda x: " ".join(x.casefold().split())
+    for c, t, _, body, _ in parsed:
+        if c is not None and t is not None:
+            for own in {flat(body), *map(flat, body.split("\n"))} - {""}:
+                said.setdefault((c, own), []).append(t)
+    parent, linked = {}, {}
+    for c, t, _, _, passages in parsed:
+        best, numbers = None, set()
+        for no, (level, lines) in enumerate(passages):
+            whole = flat("\n".join(lines))
+            for rough, text in [(0, whole), *((1, flat(x)) for x in lines if flat(x) != whole)]:
+                origin = min(said.get((c, text), [t]) if text and c is not None and t is not None else [0])
+                if text and c is not None and t is not None and origin < t:
+                    numbers.add(no)
+                    if level == 1:
+                        best = min(best or (rough, -origin), (rough, -origin))
+        if c is not None and t is not None:
+            linked.setdefault((c, t), set()).update(numbers)
+            if best and (parent.get((c, t)) is None or best < parent[c, t]):
+                parent[c, t] = best
+    parent = {k: -v[1] for k, v in parent.items()}
+
+    def root(c, t):
+        while (c, t) in parent:
+            t = parent[c, t]
+        return t
+
+    return [(c, t, r, body, len(q), len(linked.get((c, t), ())), parent.get((c, t)), root(c, t)) for c, t, r, body, q in parsed]
+
+
+def quoting_chat(rng, conv, turns):
+    said, out = [], []
+    for t in range(turns):
+        text = f"Message {t} of {conv}\n{rng.choice(['same words', 'Other  Words', 'line ' + str(t)])}"
+        if said and rng.random() < 0.8:
+            quoted = rng.choice(said).split("\n")
+            quoted = quoted if rng.random() < 0.6 else quoted[: rng.randint(1, len(quoted))]
+            lines = [">" + (" " if rng.random() < 0.5 and not x.startswith(">") else "") + x.upper() for x in quoted]
+            announce = f"On {'x' * rng.choice([3, 900])} you wrote:\n" if rng.random() < 0.5 else ""
+            text = announce + "\n".join(lines) + "\n" + text if rng.random() < 0.7 else text + "\n" + "\n".join(lines)
+        said.append(text)
+        out.append((conv, t, rng.choice(["user", "assistant"]), text))
+    return out
+
+
+def test_threads_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [r for c in range(25) for r in quoting_chat(rng, c, rng.randint(1, 14))]
+    rows += [(None, 1, "user", "> same words"), (3, None, "user", "> same words"), (99, 1, "user", None), (99, 2, "user", "")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr(
+        "*", "'x' AS body", "1 AS position", "2 AS thread_turn", "'y' AS own")
+    linked = link_quotations(df)
+    want = threads(rows)
+    got = linked.collect()
+    assert sorted(map(repr, (tuple(r)[:-1] for r in got))) == sorted(map(repr, want))
+    assert sum(r.parent_turn is not None for r in got) > 40 and any(r.n_linked > 1 for r in got)
+    by_conv = {}
+    for r in got:
+        if r.position is not None:
+            by_conv.setdefault(r.conv_id, []).append((r.position, r.thread_turn, r.turn))
+    for places in by_conv.values():
+        places.sort()
+        assert [p for p, *_ in places] == list(range(len(places)))
+        assert [x[1:] for x in places] == sorted(x[1:] for x in places)
+    pieces = conversations(linked, piece=3).collect()
+    assert all(len(p.messages) <= 3 for p in pieces) and sum(len(p.messages) for p in pieces) == len(rows)
+    assert not any(line.startswith(">") for p in pieces for m in p.messages for line in m.body.split("\n"))
+    for c, places in by_conv.items():
+        mine = sorted((p for p in pieces if p.conv_id == c and p.messages[0].position is not None),
+                      key=lambda p: (p.thread_turn, p.piece))
+        assert [m.position for p in mine for m in p.messages] == list(range(len(places)))
