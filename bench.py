@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cardlake.plans import pipeline as PL  # noqa: E402
 from cardlake.plans import reports as RP  # noqa: E402
-from cardlake.session import build_session, scratch_path  # noqa: E402
+from cardlake.session import build_session, remove_scratch, scratch_path  # noqa: E402
 from cardlake.sources import fixtures  # noqa: E402
 
 
@@ -80,6 +80,7 @@ def main() -> None:
             runs.append(time.time() - t0)
         timings[name] = statistics.median(runs)
 
+    remove_scratch(spark)
     total = sum(timings.values())
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({

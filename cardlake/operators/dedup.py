@@ -33,7 +33,3 @@ def dedup_by_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
     return kept.select(*df.columns)
 
-
-def exact_distinct(df: DataFrame) -> DataFrame:
-    """Exact-copy removal (every column equal)."""
-    return df.dropDuplicates()

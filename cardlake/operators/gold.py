@@ -7,7 +7,8 @@ Plan shape (see ``explain``): silver transactions are hash-partitioned by id
 by their de-duplication, silver fraud labels by transaction_id, so the fraud
 left join reuses both partitionings (no extra exchange). Users (by id) and the
 per-client card totals (by client_id) likewise meet without a re-shuffle. The
-merchant-code table is a bounded code list; it is broadcast after a size check.
+merchant-code table is a bounded code list; whether it is broadcast is the planner's choice, by
+statistics where the table has them (``plans.tables.analyze``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import rules as R
 
-# Projections of the two source variants and of the serving views.
+# Projections of the two source variants and of the serving views.
 TRANSACTIONS_COLUMNS_A = [
     "transaction_id", "client_id", "card_id", "transaction_timestamp", "transaction_date",
     "transaction_year", "transaction_month", "transaction_month_name", "amount",
@@ -152,13 +153,3 @@ def fraud_variant_a(gold_fraud: DataFrame) -> DataFrame:
 def fraud_variant_b(gold_fraud: DataFrame) -> DataFrame:
     return gold_fraud.select(*FRAUD_COLUMNS_B)
 
-
-def gold_frames(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "users": gold_users(silver["users"]),
-        "transactions": gold_transactions(silver["transactions"], silver["mcc_codes"]),
-        "credit_utilization": gold_credit_utilization(silver["users"], silver["cards"]),
-        "fraud_monitoring": gold_fraud_monitoring(
-            silver["transactions"], silver["fraud_labels"], silver["mcc_codes"]
-        ),
-    }

@@ -129,6 +129,3 @@ TYPED = {
     "fraud_labels": fraud_typed,
 }
 
-
-def silver_frames(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](df) for name, df in raw.items()}

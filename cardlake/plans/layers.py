@@ -1,8 +1,7 @@
 """Lazy access to every layer of the model for one input.
 
 ``Layers`` builds raw -> silver -> gold frames on first use only, so a report
-that needs two gold tables never plans the others (and never runs the
-merchant-code size check unless a transaction table is asked for). Frames
+that needs two gold tables never plans the others. Frames
 are plain lazy DataFrames; nothing is cached or collected here.
 """
 

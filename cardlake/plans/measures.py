@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardlake.functions.rules import money_sum
+
 
 def average_credit_score(c: str = "credit_score") -> Column:
     return F.avg(c)
@@ -57,7 +59,7 @@ VISUAL_COUNT_NON_NULL = 5
 
 def visual_aggregate(code: int, c: str) -> Column:
     if code == VISUAL_SUM:
-        return F.sum(c)
+        return money_sum(c)
     if code == VISUAL_COUNT_NON_NULL:
         return F.count(c)
     raise ValueError(f"unsupported visual aggregation code {code}")

@@ -95,8 +95,8 @@ def scored_customers_by_segment(gold: dict[str, DataFrame]) -> DataFrame:
 def monthly_debit_credit(gold: dict[str, DataFrame]) -> DataFrame:
     t = gold["transactions"]
     return t.groupBy("transaction_month_name").agg(
-        R.money_sum("debited_amount").alias("total_debited"),
-        R.money_sum("credited_amount").alias("total_credited"),
+        M.visual_aggregate(M.VISUAL_SUM, "debited_amount").alias("total_debited"),
+        M.visual_aggregate(M.VISUAL_SUM, "credited_amount").alias("total_credited"),
     ).orderBy(F.desc("total_debited"), "transaction_month_name")
 
 
@@ -104,14 +104,14 @@ def monthly_debit_credit_by_month_number(gold: dict[str, DataFrame]) -> DataFram
     """Companion: the same sums in calendar order."""
     t = gold["transactions"]
     return t.groupBy("transaction_month", "transaction_month_name").agg(
-        R.money_sum("debited_amount").alias("total_debited"),
-        R.money_sum("credited_amount").alias("total_credited"),
+        M.visual_aggregate(M.VISUAL_SUM, "debited_amount").alias("total_debited"),
+        M.visual_aggregate(M.VISUAL_SUM, "credited_amount").alias("total_credited"),
     ).orderBy("transaction_month")
 
 
 def spend_by_category(gold: dict[str, DataFrame]) -> DataFrame:
     t = gold["transactions"]
-    return t.groupBy("category").agg(R.money_sum("debited_amount").alias("total_debited")).orderBy(
+    return t.groupBy("category").agg(M.visual_aggregate(M.VISUAL_SUM, "debited_amount").alias("total_debited")).orderBy(
         F.desc("total_debited"), "category"
     )
 

@@ -82,8 +82,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return fallback
 
 
+_scratch_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run."""
+    """A fresh sub-folder of the shared checkpoint folder for one run; of the warehouse, which is shared too, where
+    no checkpoint folder is named."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         try:
@@ -92,7 +96,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             base = None
     if not base:
         base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_cardlake_scratch")
-    return f"{base.rstrip('/')}/cardlake/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/cardlake/{label}-{uuid.uuid4().hex[:12]}"
+    _scratch_made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process made, once their results are written or collected (frames over
+    them cannot be read afterwards). The number of folders deleted."""
+    hadoop, deleted = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _scratch_made:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_made.pop())
+        deleted += bool(folder.getFileSystem(hadoop).delete(folder, True))
+    return deleted
 
 
 def ship_package(spark: SparkSession) -> None:
