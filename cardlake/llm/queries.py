@@ -16,7 +16,7 @@ from cardlake.llm.license_scan import license_scan
 from cardlake.llm.quote_threads import link_quotations
 from cardlake.llm.repetition import repetition_rules
 from cardlake.llm.secret_index import secret_scan
-from cardlake.llm.spelling_variants import spelling_variants
+from cardlake.llm.spelling_variants import FORM_FACTOR, MIN_COUNT, MIN_LENGTH, NOISE_STEP, spelling_variants
 from cardlake.llm.substring_dedup import substring_dedup
 from cardlake.llm.tables import table
 from cardlake.llm.topk_nra import top_k
@@ -191,6 +191,45 @@ FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS
 """
 
 
+OP11_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS steps
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), seen AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes FROM seen
+), drawn AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+    range(len(bytes) // 2), lambda i: CAST('0x' || substr(bytes, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))), lambda c, b:
+    xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h
+  FROM hashed, crc
+), noisy AS (
+  SELECT CASE WHEN h % {NOISE_STEP} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END
+    AS word, n FROM drawn
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM noisy WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(n) >= {MIN_COUNT}
+), gaps AS (
+  SELECT word, n, k, substr(word, 1, k - 1) AS head, substr(word, k + 1) AS tail FROM v, unnest(range(1, length(word) + 1)) AS t(k)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (k, head, tail) WHERE a.word <> b.word
+  UNION SELECT g.word, v.word, v.n FROM gaps g JOIN v ON v.word = g.head || g.tail
+  UNION SELECT v.word, g.word, g.n FROM gaps g JOIN v ON v.word = g.head || g.tail
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word
+), judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {FORM_FACTOR} * v.n THEN form END AS form,
+    CASE WHEN form_n >= {FORM_FACTOR} * v.n THEN form_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS root, form AS next FROM judged
+  UNION ALL SELECT c.word, j.word, j.form FROM chains c JOIN judged j ON j.word = c.next
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)
+"""
 OP12_SQL = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -242,5 +281,6 @@ FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op12_fill_in_middle": OP12_SQL,
+    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op11_spelling_variants": OP11_SQL,
+            "op12_fill_in_middle": OP12_SQL,
             "op13_leak_index": OP13_SQL}
