@@ -88,7 +88,8 @@ def op9_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links", "n_copies")
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +192,47 @@ FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS
 """
 
 
+BLANK_WORDS_SQL = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+OP4_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, {BLANK_WORDS_SQL.format("text")} AS w FROM documents
+), windows AS (
+  SELECT no, doc_id, k, array_to_string(list_slice(w, k, k + 12), ' ') AS words FROM d, unnest(range(1, len(w) - 11)) AS t(k)
+), hits AS (
+  SELECT DISTINCT no, k FROM (SELECT no, doc_id, k, min(doc_id) OVER (PARTITION BY words) AS first FROM windows) WHERE first < doc_id
+), gone AS (SELECT DISTINCT no, word FROM hits, unnest(range(k, k + 13)) AS t(word)
+), words AS (SELECT no, unnest(w) AS text, generate_subscripts(w, 1) AS word FROM d
+), kept AS (
+  SELECT no, count(*) AS n, string_agg(text, ' ' ORDER BY word) AS text FROM words ANTI JOIN gone USING (no, word) GROUP BY no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (no)
+"""
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS no, doc_id, {BLANK_WORDS_SQL.format(
+      "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT no, array_to_string(list_slice(w, k, k + 4), ' ') AS words
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(k) WHERE len(w) > 0
+), sizes AS (SELECT no, count(*) AS n, md5(string_agg(words, chr(10) ORDER BY words)) AS whole FROM shingles GROUP BY no
+), copies AS (SELECT whole, count(*) AS n_copies FROM sizes JOIN d USING (no) WHERE doc_id IS NOT NULL GROUP BY whole
+), shared AS (
+  SELECT a.no AS a, b.no AS b, count(*) AS n FROM shingles a JOIN shingles b USING (words) WHERE a.no <> b.no GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.no = a JOIN sizes y ON y.no = b JOIN d p ON p.no = a JOIN d q ON q.no = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n) AND p.doc_id IS NOT NULL AND q.doc_id IS NOT NULL
+), degree AS (SELECT a AS no, count(*) AS n_links FROM links GROUP BY a
+), reach AS (
+  SELECT no, doc_id AS low FROM d
+  UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.no
+)
+SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links,
+  CASE WHEN doc_id IS NULL THEN 1 ELSE coalesce(n_copies, 1) END AS n_copies
+FROM d JOIN (SELECT no, min(low) AS component_id FROM reach GROUP BY no) USING (no) LEFT JOIN sizes USING (no)
+  LEFT JOIN copies USING (whole) LEFT JOIN degree USING (no)
+"""
 OP11_SQL = f"""
 WITH RECURSIVE crc AS (
   SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
@@ -281,6 +323,7 @@ FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL, "op9_budget_mix": OP9_SQL, "op11_spelling_variants": OP11_SQL,
+    return {"op2_topk_nra": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op9_budget_mix": OP9_SQL,
+            "op10_jaccard_tiles": OP10_SQL, "op11_spelling_variants": OP11_SQL,
             "op12_fill_in_middle": OP12_SQL,
             "op13_leak_index": OP13_SQL}
