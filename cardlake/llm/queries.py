@@ -14,7 +14,9 @@ from cardlake.llm.fill_in_middle import MARKS, PLAIN_PERCENT, SEED, SPM_PERCENT,
 from cardlake.llm.jaccard_tiles import jaccard_join
 from cardlake.llm.license_scan import license_scan
 from cardlake.llm.quote_threads import link_quotations
-from cardlake.llm.repetition import repetition_rules
+from cardlake.llm.repetition import BASE_WINDOW as MIN_GRAM
+from cardlake.llm.repetition import (MAX_LINE_SHARE, MAX_NGRAM_SHARE, MAX_REPEAT_PERCENT, MAX_SYMBOLS_PER_WORD, MIN_WORDS,
+                                     repetition_rules)
 from cardlake.llm.secret_index import secret_scan
 from cardlake.llm.spelling_variants import FORM_FACTOR, MIN_COUNT, MIN_LENGTH, NOISE_STEP, spelling_variants
 from cardlake.llm.substring_dedup import substring_dedup
@@ -44,7 +46,7 @@ def op2_topk_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules(table(spark, sf_dir, "documents"))
+    return repetition_rules(table(spark, sf_dir, "documents")).drop("dup_line_share", "dup_ngram_shares")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +195,44 @@ FROM placed, unnest(range(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS
 
 
 BLANK_WORDS_SQL = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+OP3_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS text, {BLANK_WORDS_SQL.format("text")} AS w FROM documents
+), words AS (SELECT no, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d
+), sizes AS (SELECT no, sum(length(word)) AS word_chars FROM words GROUP BY no
+), windows AS (
+  SELECT no, n, k, array_to_string(list_slice(w, k, k + n - 1), ' ') AS gram
+  FROM d, (SELECT unnest([{MIN_GRAM}, {", ".join(map(str, MAX_NGRAM_SHARE))}]) AS n), unnest(range(1, len(w) - n + 2)) AS t(k)
+), covered AS (
+  SELECT DISTINCT no, n, i AS k
+  FROM (SELECT *, count(*) OVER (PARTITION BY no, n, gram) AS times FROM windows), unnest(range(k, k + n)) AS t(i) WHERE times > 1
+), shares AS (
+  SELECT no, n, count(*) AS n_words, sum(length(word)) AS chars FROM covered JOIN words USING (no, k) GROUP BY no, n
+), most AS (
+  SELECT unnest([{", ".join(map(str, MAX_NGRAM_SHARE))}]) AS n, unnest([{", ".join(f"CAST({x} AS DOUBLE)" for x in MAX_NGRAM_SHARE.values())}]) AS share
+), repeats AS (
+  SELECT no, max(CASE WHEN n = {MIN_GRAM} THEN s.n_words END) AS n_repeat,
+    bool_or(CAST(chars AS DOUBLE) / word_chars > most.share) AS too_many
+  FROM shares s JOIN sizes USING (no) LEFT JOIN most USING (n) GROUP BY no
+), lines AS (
+  SELECT no, line, count(*) AS times FROM (SELECT no, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY no, line
+), copies AS (
+  SELECT no, sum(times - 1) AS n_dup_lines, CAST(sum((times - 1) * strlen(line)) AS DOUBLE) / sum(times * strlen(line)) AS share
+  FROM lines GROUP BY no
+), counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(too_many, false) AS too_many, coalesce(copies.share, 0) AS line_share
+  FROM d LEFT JOIN sizes USING (no) LEFT JOIN repeats USING (no) LEFT JOIN copies USING (no)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words OR too_many
+    OR line_share > CAST({MAX_LINE_SHARE} AS DOUBLE) OR n_symbols > CAST({MAX_SYMBOLS_PER_WORD} AS DOUBLE) * n_words) AS kept
+FROM counted
+"""
 OP4_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS no, doc_id, {BLANK_WORDS_SQL.format("text")} AS w FROM documents
 ), windows AS (
@@ -323,7 +363,6 @@ FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_nra": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op9_budget_mix": OP9_SQL,
-            "op10_jaccard_tiles": OP10_SQL, "op11_spelling_variants": OP11_SQL,
-            "op12_fill_in_middle": OP12_SQL,
-            "op13_leak_index": OP13_SQL}
+    return {"op2_topk_nra": OP2_SQL, "op3_repetition_rules": OP3_SQL, "op4_substring_dedup": OP4_SQL,
+            "op9_budget_mix": OP9_SQL, "op10_jaccard_tiles": OP10_SQL, "op11_spelling_variants": OP11_SQL,
+            "op12_fill_in_middle": OP12_SQL, "op13_leak_index": OP13_SQL}
