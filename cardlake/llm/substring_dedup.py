@@ -6,7 +6,7 @@ once and its shuffle is read by the three passes over chunks:
 
 1. Every chunk sketches its windows: sorted cell values, dealt to buckets by window
    hash. A bucket merges the chunks' sketches into one count-min sketch (two rows of
-   counters that stop at 2, conservative update: a chunk counts once per cell). The
+   counters that stop at 2: a chunk counts once per cell). The
    estimate never undercounts the chunks that hold a window, so "estimated in one chunk
    only" is certain. The answer to a chunk is one bit per sketched value.
 2. Every chunk computes 128-bit digests of the windows estimated repeated, and of
