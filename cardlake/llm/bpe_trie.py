@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.tables import python_tasks
 
-#: Distinct stretches a worker remembers between batches; beyond it the older half goes.
-REMEMBERED_PIECES = 300_000
+#: Distinct stretches a task remembers between batches; beyond it the older half goes.
+REMEMBERED_PIECES = 150_000
 #: The same for their characters.
 REMEMBERED_CHARACTERS = 20_000_000
 #: Texts are gathered to about so many characters before they are encoded: more words share more prefixes.
-CHARACTERS_AT_ONCE = 8_000_000
+CHARACTERS_AT_ONCE = 1_500_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = regex.compile(f"[^{_SPACE}]+")
@@ -257,6 +257,10 @@ class TrieBPE:
         gc.enable()
         return encoded
 
+    def rest(self) -> None:
+        """Forget all stretches: a worker that waits for other work holds none."""
+        self.remembered, self.held = {}, 0
+
     def is_plain(self, piece: str) -> bool:
         """Whether the piece, taken as a stretch of text, is that one piece."""
         return piece.isascii() and piece.isalpha() and piece.islower() and not (
@@ -330,6 +334,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             tokens = pa.array(np.frombuffer(b"".join(raw), dtype="<u4").astype(np.int32))
             ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), tokens)
             yield pa.RecordBatch.from_arrays([doc_ids, pa.array(lengths), ids], names=["doc_id", "n_tokens", "ids"])
+        bpe.rest()
 
     return named.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -368,6 +373,7 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                 pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.rest()
 
     return named.mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
