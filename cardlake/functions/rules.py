@@ -148,13 +148,15 @@ def money_sum(c: str) -> Column:
     v = f"CAST(`{c}` AS DOUBLE)"
     small = f"CASE WHEN abs({v}) < {LONG_RANGE} THEN {v} END"
     whole = f"CAST({small} AS BIGINT)"
-    rest = f"({small} - {whole})"
-    places = (f"CASE WHEN abs({v}) < {TEN_PLACES} THEN CAST(rint({rest} * 1E10D) AS BIGINT) "
-              f"WHEN abs({v}) < {SIX_PLACES} THEN CAST(rint({rest} * 1E6D) AS BIGINT) * 10000L "
-              f"WHEN abs({v}) < {TWO_PLACES} THEN CAST(rint({rest} * 1E2D) AS BIGINT) * 100000000L "
-              f"ELSE CAST(rint({rest} * 1E10D) AS BIGINT) END")
+
+    def by_size(ten: str, six: str, two: str) -> str:
+        return f"CASE WHEN abs({v}) < {TEN_PLACES} THEN {ten} WHEN abs({v}) < {SIX_PLACES} THEN {six} " \
+               f"WHEN abs({v}) < {TWO_PLACES} THEN {two} ELSE {ten} END"
+
+    places = (f"CAST(rint(({small}) % 1D * {by_size('1E10D', '1E6D', '1E2D')}) AS BIGINT)"
+              f" * {by_size('1L', '10000L', '100000000L')}")
     wholes = _limb_sum(whole, 3)
     units = f"try_add(try_multiply({wholes}, 10000000000BD), {_limb_sum(places, 2)})"
     total = f"coalesce(CAST(concat(CAST({units} AS STRING), 'E-10') AS DOUBLE), CAST({wholes} AS DOUBLE))"
     huge = f"sum(CASE WHEN abs({v}) >= {LONG_RANGE} AND abs({v}) < double('Infinity') THEN {v} END)"
-    return F.expr(f"coalesce({total} + {huge}, {total}, {huge})")
+    return F.expr(f"CASE WHEN count({small}) > 0 THEN {total} + coalesce({huge}, 0D) ELSE {huge} END")
