@@ -161,8 +161,8 @@ def ingest_fraud_split_one_line(spark: SparkSession, d: str) -> DataFrame:
 def raw_landing_csv(name: str):
     def q(spark: SparkSession, d: str) -> DataFrame:
         src = FS.write_csv(_raw(spark, d, name), scratch_path(spark, f"source_{name}"))
-        dst = FS.land_csv(spark, src, scratch_path(spark, f"landed_{name}"))
-        return FS.read_csv(spark, dst, RAW_CSV_SCHEMAS[name])
+        dst = FS.land_csv(spark, src, scratch_path(spark, f"landed_{name}"), compression="gzip")
+        return FS.read_csv(spark, dst, RAW_CSV_SCHEMAS[name], glob="*.csv.gz")
 
     return q
 
@@ -176,8 +176,8 @@ def raw_landing_csv_odd(spark: SparkSession, d: str) -> DataFrame:
         address = F.when(F.col("id") % 9 == no, value).otherwise(address)
     users = _raw(spark, d, "users").withColumn("address", address)
     src = FS.write_csv(users, scratch_path(spark, "source_users_odd"))
-    landed = FS.land_csv(spark, src, scratch_path(spark, "landed_users_odd"))
-    return FS.read_csv(spark, landed, RAW_CSV_SCHEMAS["users"], line_breaks=True)
+    landed = FS.land_csv(spark, src, scratch_path(spark, "landed_users_odd"), compression="gzip")
+    return FS.read_csv(spark, landed, RAW_CSV_SCHEMAS["users"], glob="*.csv.gz", line_breaks=True)
 
 
 def raw_landing_json(spark: SparkSession, d: str) -> DataFrame:

@@ -37,15 +37,17 @@ def header_groups(spark: SparkSession, path: str | list[str], escape: str = CSV_
                   **options: str) -> list[tuple[str, list[str]]]:
     """The catalogue of a folder's files: ``(header record, files)``, in the order of each group's first file. Only the
     first record of each file is read, by the driver, which lists the files anyway. Files without
-    a record are in no group."""
+    a record are in no group. Compressed files are known by their ending, as in the engine's reader."""
     whole = QuotedRecords(escape).whole
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
 
     def first_record(uri: str) -> tuple[str | None, str]:
         file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        stream = file.getFileSystem(conf).open(file)
+        stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
         try:
-            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            text = codec.createInputStream(stream) if codec else stream
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
             record = lines.readLine()
             while record is not None and not whole(record) and (more := lines.readLine()) is not None:
                 record += "\n" + more
@@ -249,16 +251,19 @@ def write_label_objects(df: DataFrame, key: str, value: str, path: str, entries_
     return path
 
 
-def land_csv(spark: SparkSession, src: str, dst: str, glob: str = "*.csv", recursive: bool = False) -> str:
+def land_csv(spark: SparkSession, src: str, dst: str, glob: str = "*.csv", recursive: bool = False,
+             compression: str | None = None) -> str:
     """Raw landing copy of delimited files, read and written as text columns: no type conversion, nothing truncated.
     Fields are quoted where they hold a separator, quote, backslash or line break; '' is written as "" and NULL as
     nothing, so no text can be taken for it (quoting every field would make the two alike). Files keep their
-    own headers: those with the same header are landed together."""
+    own headers: those with the same header are landed together. ``compression`` names a codec for the copy, whose
+    files then end as the codec's do (``*.csv.gz``); a file is what one task wrote, so its size does not follow the data's."""
     listing = {"pathGlobFilter": glob, **({"recursiveFileLookup": "true"} if recursive else {})}
     options = {**CSV_DIALECT, **_keep_empty()}
     mode = "overwrite"
     for header, files in header_groups(spark, src, options["escape"], **listing):
-        _by_record(spark, header, files, options).write.mode(mode).options(**CSV_DIALECT, **CSV_WRITE).csv(dst)
+        _by_record(spark, header, files, options).write.mode(mode).options(**CSV_DIALECT, **CSV_WRITE).csv(
+            dst, compression=compression)
         mode = "append"
     return dst
 

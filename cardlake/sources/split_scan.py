@@ -9,7 +9,9 @@ that were open before it closes, and which it opens and leaves open.
    Chunks are written once to the scratch folder, so all readers see the same splits.
 2. The effects of the splits, one row each, are composed per file: the state at the start of every split.
 3. Every chunk starts from its true state and hands out the records that lie within it. Only chunks that a
-   record overhangs are looked at once more, and the parts of such records are put together.
+   record overhangs are unpacked once more, and the parts of such records are put together.
+
+The text is never shuffled: the states are sent to the chunks, and only the parts of cut records move.
 
 An automaton gives ``separator`` (the byte at which pieces end), ``effect(text)``, ``runs(text, inside, stack)`` and
 ``overhangs(inside, stack)``; it is sent to the tasks as a value.
@@ -134,18 +136,6 @@ def _starts(chunks: DataFrame) -> DataFrame:
         run, "file long, check int, block long, inside boolean, stack string")
 
 
-def _overhung(placed: DataFrame, automaton: Automaton) -> DataFrame:
-    """The chunks that begin or end within a record; their texts are not read for it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [any(automaton.overhangs(*applied(json.loads(row[side]), row["inside"], row["stack"])) for side in ("before", "after"))
-                    for row in b.select(["before", "after", "inside", "stack"]).to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_())).select(["file", "check", "block", "seq"])
-
-    return placed.select("file", "check", "block", "seq", "before", "after", "inside", "stack").mapInArrow(
-        run, "file long, check int, block long, seq long")
-
-
 #: Makes rows of the whole records of a chunk: (is the file's first chunk, runs of part 0) -> batches.
 Emit = Callable[[bool, Iterator[bytes]], Iterator[pa.RecordBatch]]
 
@@ -162,13 +152,16 @@ def _whole(placed: DataFrame, automaton: Automaton, emit: Emit, ddl: str) -> Dat
 
 
 def _parts(placed: DataFrame, automaton: Automaton) -> DataFrame:
-    """The parts of records that chunks' edges cut."""
+    """The parts of records that chunks' edges cut. Texts of chunks that no record overhangs are not unpacked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for row in b.to_pylist():
-                inside, stack = applied(json.loads(row["before"]), row["inside"], row["stack"])
-                found = list(automaton.runs(row["text"].encode(), inside, stack))
+            texts = b.column(b.schema.get_field_index("text"))
+            for i, row in enumerate(b.select([n for n in b.schema.names if n != "text"]).to_pylist()):
+                start, end = (applied(json.loads(row[side]), row["inside"], row["stack"]) for side in ("before", "after"))
+                if not (automaton.overhangs(*start) or automaton.overhangs(*end)):
+                    continue
+                found = list(automaton.runs(texts[i].as_py().encode(), *start))
                 lead = row["block"] == row["seq"] == 0 and bool(found) and found[0][0] == 1
                 out += [(row["file"], row["check"], row["block"], row["seq"], part, text.decode(), lead)
                         for part, text in found if part]
@@ -178,7 +171,7 @@ def _parts(placed: DataFrame, automaton: Automaton) -> DataFrame:
                 pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()), pa.array(columns[5], pa.string()),
                 pa.array(columns[6], pa.bool_())], names=["file", "check", "block", "seq", "part", "text", "lead"])
 
-    return placed.select("file", "check", "block", "seq", "before", "inside", "stack", "text").mapInArrow(
+    return placed.select("file", "check", "block", "seq", "before", "after", "inside", "stack", "text").mapInArrow(
         run, "file long, check int, block long, seq long, part int, text string, lead boolean")
 
 
@@ -193,10 +186,11 @@ def scan(spark: SparkSession, path: str | list[str], automaton: Automaton, emit:
     pieces = spark.read.options(**options).option("lineSep", automaton.separator).text(path).select(
         F.xxhash64(file).alias("file"), F.hash(file).alias("check"), F.col("_metadata.file_block_start").alias("block"), "value")
     folder = scratch_path(spark, "split-chunks")
-    _chunks(pieces, automaton).write.parquet(folder)
+    _chunks(pieces, automaton).write.option("compression", "zstd").parquet(folder)
     chunks = spark.read.schema(_CHUNK_DDL).parquet(folder)
-    placed = chunks.join(_starts(chunks), ["file", "check", "block"])
-    parts = _parts(placed.join(_overhung(placed, automaton), ["file", "check", "block", "seq"], "left_semi"), automaton)
+    # one small row a split is sent to the chunks; a join by shuffle would move all texts, once for each use of them
+    placed = chunks.join(F.broadcast(_starts(chunks)), ["file", "check", "block"])
+    parts = _parts(placed, automaton)
     # a record begins with its part 1; the parts behind it, up to the next part 1, are its rest
     in_order = Window.partitionBy("file", "check").orderBy("block", "seq", (F.col("part") == 1))
     cut = parts.withColumn("record", F.sum(F.when(F.col("part") == 1, 1).otherwise(0)).over(in_order))

@@ -70,6 +70,33 @@ def test_landing_keeps_every_value(spark):
         assert back.columns == ["id", "s", "t"] and sorted(map(tuple, back.collect())) == sorted(rows)
 
 
+def test_compressed_landing_keeps_every_value(spark):
+    rows = [(str(i), v, w) for i, (v, w) in enumerate(zip(ODD, reversed(ODD)))]
+    base = tempfile.mkdtemp(dir="/tmp")
+    src = FS.write_csv(spark.createDataFrame(rows, "id string, s string, t string"), f"{base}/src")
+    landed = FS.land_csv(spark, src, f"{base}/dst", compression="gzip")
+    again = FS.land_csv(spark, landed, f"{base}/dst2", glob="*.csv.gz", compression="gzip")
+    assert not [n for n in os.listdir(landed) if n.endswith(".csv")]
+    for path in (landed, again):
+        assert [h for h, _ in FS.header_groups(spark, path, pathGlobFilter="*.csv.gz")] == ["id,s,t"]
+        back = FS.read_csv(spark, path, glob="*.csv.gz", line_breaks=True)
+        assert back.columns == ["id", "s", "t"] and sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_scan_does_not_shuffle_the_text(spark):
+    rows = [(str(i), random.Random(i).choice(ODD[1:])) for i in range(500)]
+    src = FS.write_csv(spark.createDataFrame(rows, "id string, s string"), tempfile.mkdtemp(dir="/tmp") + "/src")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole, overhanging = SS.scan(spark, src, CS.QuotedRecords(), CS._lines, "record string")
+        for df in (whole, overhanging):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+            df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_landing_keeps_the_headers_of_files(spark):
     path = folder(a="id,v\n1,a\n", b='v,w,id\n"b\nb",c,2\n')
     landed = FS.land_csv(spark, path, tempfile.mkdtemp(dir="/tmp") + "/dst")
