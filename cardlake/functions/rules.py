@@ -132,20 +132,25 @@ TEN_PLACES, SIX_PLACES, TWO_PLACES, LONG_RANGE = (f"{x!r}D" for x in (2**53 / 1e
 LIMB_BITS = 21  # no limb's sum overflows below 2**41 rows
 
 
-def _limb_sum(x: str, limbs: int) -> str:
-    """SQL: the sum of whole numbers as a decimal without places, from sums of longs: the number in ``limbs`` pieces."""
-    pieces = [f"shiftright({x}, {i * LIMB_BITS})" + (f" & {2**LIMB_BITS - 1}L" if i < limbs - 1 else "") for i in range(limbs)]
-    return " + ".join(f"CAST(sum({p}) AS DECIMAL(19,0)) * {2 ** (i * LIMB_BITS)}BD" for i, p in enumerate(pieces))
+def _limbs(x: str, limbs: int) -> list[str]:
+    """SQL: a whole number in ``limbs`` pieces, which add up as longs."""
+    return [f"shiftright({x}, {i * LIMB_BITS})" + (f" & {2**LIMB_BITS - 1}L" if i < limbs - 1 else "") for i in range(limbs)]
 
 
-def money_sum(c: str) -> Column:
+def _limb_sum(sums: list[str]) -> str:
+    """SQL: the sum of whole numbers as a decimal without places, from the sums of their pieces."""
+    return " + ".join(f"CAST({s} AS DECIMAL(19,0)) * {2 ** (i * LIMB_BITS)}BD" for i, s in enumerate(sums))
+
+
+def money_sum(c: str | Column) -> Column:
     """Order-independent sum of a column, rounded to a double once: the same on every partitioning. Every value is
     rounded to the decimal places its double holds (ten below 900,719, six below 9e9, two below 9e13; beyond it is
     taken as it is) and cut into limbs of whole numbers, which are summed as longs. Values from 2**63 on are
     summed as doubles, so none is dropped. Non-finite values count as missing.
 
-    Written as SQL text: one call to the engine in place of some hundred."""
-    v = f"CAST(`{c}` AS DOUBLE)"
+    Written as SQL text: one call to the engine in place of some hundred. A column that has no name enters the
+    same text as the variable of a lambda."""
+    v = f"CAST(`{c}` AS DOUBLE)" if isinstance(c, str) else "CAST(x AS DOUBLE)"
     small = f"CASE WHEN abs({v}) < {LONG_RANGE} THEN {v} END"
     whole = f"CAST({small} AS BIGINT)"
 
@@ -155,8 +160,18 @@ def money_sum(c: str) -> Column:
 
     places = (f"CAST(rint(({small}) % 1D * {by_size('1E10D', '1E6D', '1E2D')}) AS BIGINT)"
               f" * {by_size('1L', '10000L', '100000000L')}")
-    wholes = _limb_sum(whole, 3)
-    units = f"try_add(try_multiply({wholes}, 10000000000BD), {_limb_sum(places, 2)})"
-    total = f"coalesce(CAST(concat(CAST({units} AS STRING), 'E-10') AS DOUBLE), CAST({wholes} AS DOUBLE))"
-    huge = f"sum(CASE WHEN abs({v}) >= {LONG_RANGE} AND abs({v}) < double('Infinity') THEN {v} END)"
-    return F.expr(f"CASE WHEN count({small}) > 0 THEN {total} + coalesce({huge}, 0D) ELSE {huge} END")
+    pieces = [*_limbs(whole, 3), *_limbs(places, 2),
+              f"CASE WHEN abs({v}) >= {LONG_RANGE} AND abs({v}) < double('Infinity') THEN {v} END"]
+
+    def total(sums: list[str]) -> str:
+        wholes, huge = _limb_sum(sums[:3]), sums[5]
+        units = f"try_add(try_multiply({wholes}, 10000000000BD), {_limb_sum(sums[3:5])})"
+        exact = f"coalesce(CAST(concat(CAST({units} AS STRING), 'E-10') AS DOUBLE), CAST({wholes} AS DOUBLE))"
+        return f"CASE WHEN {sums[0]} IS NOT NULL THEN {exact} + coalesce({huge}, 0D) ELSE {huge} END"
+
+    if isinstance(c, str):
+        return F.expr(total([f"sum({p})" for p in pieces]))
+    named = ", ".join(f"'s{i}', {p}" for i, p in enumerate(pieces))
+    cut = F.call_function("transform", F.array(c), F.expr(f"x -> named_struct({named})"))[0]
+    sums = F.struct(*[F.sum(cut[f"s{i}"]).alias(f"s{i}") for i in range(len(pieces))])
+    return F.call_function("transform", F.array(sums), F.expr(f"x -> {total([f'x.s{i}' for i in range(len(pieces))])}"))[0]
