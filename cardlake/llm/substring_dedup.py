@@ -28,6 +28,7 @@ is smaller. Other columns of the input are not read. An empty table gives no row
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.tables import parallelism, python_tasks
-from cardlake.llm.words import distinct, pack_sorted, unpack_sorted, utf8, window_hashes, word_hashes, word_spans
+from cardlake.llm.words import STRETCH, distinct, pack_sorted, quick_word_hashes, stretches, unpack_sorted, window_hashes
 
 WINDOW = 13
 #: Parts that move are chunks times buckets, so their product stays at the square of the partitions.
 CHUNKS_PER_PARTITION = 2
 PARTITIONS_PER_BUCKET = 2
 _SECOND_ROW = np.uint32(0x9E3779B1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_DIGEST = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 _MASK_DDL = "kind int, chunk long, bucket long, mask binary"
 _MASK = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("mask", pa.binary())])
@@ -50,21 +53,30 @@ _PART = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("part", pa.bi
 
 
 class Chunk:
-    """The documents of one chunk and the hashes of their windows."""
+    """The documents of one chunk, their words joined by one blank, and the hashes of their windows: those of all
+    documents in one array, document ``n`` from ``edges[n]`` to ``edges[n + 1]``."""
 
     def __init__(self, docs: pa.Table, width: int, buckets: int):
         self.ids = docs.column("doc_id").to_pylist()
-        self.raw = [utf8(t) for t in docs.column("text").to_pylist()]
+        self.raw, self.n_words = [], []
+        for text in docs.column("text").cast(pa.large_binary()).to_pylist():
+            words = (text or b"").split()
+            self.raw.append(b" ".join(words))
+            self.n_words.append(len(words))
         self.width, self.buckets = width, buckets
-        hashes = []
-        for doc_id, raw in zip(self.ids, self.raw):
-            h = np.zeros(0, dtype=np.uint64)
-            if doc_id is not None:
-                starts, ends = word_spans(raw)
-                if len(starts) >= width:
-                    h = window_hashes(word_hashes(raw, starts, ends), width)
-            hashes.append(h)
-        self.hashes = hashes
+        taken = [n for n, doc_id in enumerate(self.ids) if doc_id is not None and self.n_words[n] >= width]
+        windows = np.zeros(len(self.ids), dtype=np.int64)
+        hashes = [np.zeros(0, dtype=np.uint64)]
+        for a, b in stretches([self.raw[n] for n in taken], STRETCH):
+            words = np.array([self.n_words[n] for n in taken[a:b]])
+            raw = b" ".join([self.raw[n] for n in taken[a:b]])
+            starts, ends = _joined_spans(raw)
+            of = np.repeat(np.arange(len(words)), words)
+            h = window_hashes(quick_word_hashes(raw, starts, ends), width)
+            hashes.append(h[of[: len(h)] == of[width - 1:]])  # no window lies in two documents
+            windows[taken[a:b]] = words - width + 1
+        self.hashes = np.concatenate(hashes)
+        self.edges = np.concatenate([[0], np.cumsum(windows)])
 
     def cells(self, h: np.ndarray) -> np.ndarray:
         """Bucket in the high 32 bits, value within the bucket in the low 32."""
@@ -77,37 +89,44 @@ class Chunk:
         return [(int(bucket[a]), cells[a:b]) for a, b in zip(edges, [*edges[1:], len(cells)])]
 
     def sketch_cells(self) -> np.ndarray:
-        return distinct(self.cells(np.concatenate([np.zeros(0, dtype=np.uint64), *self.hashes])))
+        return distinct(self.cells(self.hashes))
 
     def repeated(self, masks: dict[int, bytes]) -> "Repeated":
         """The windows estimated repeated, by their exact digests."""
-        cells = self.sketch_cells()
+        own = self.cells(self.hashes)
         hit = [np.zeros(0, dtype=np.uint64)]
-        for bucket, part in self.by_bucket(cells):
+        for bucket, part in self.by_bucket(distinct(own)):
             bits = np.unpackbits(np.frombuffer(masks[bucket], dtype=np.uint8), count=len(part)).astype(bool)
             hit.append(part[bits])
-        elsewhere = np.concatenate(hit)  # sorted: buckets come in order
-        per_doc = np.concatenate([np.zeros(0, dtype=np.uint64), *map(distinct, self.hashes)])
-        per_doc.sort()
-        here = per_doc[1:][per_doc[1:] == per_doc[:-1]]  # in two documents of this chunk
-        here = distinct(here)
-        found = Repeated()
-        for n, h in enumerate(self.hashes):
-            if not len(h):
-                continue
-            far = _member(elsewhere, self.cells(h))
-            at = np.flatnonzero(far | _member(here, h))
-            if not len(at):
-                continue
-            words = self.raw[n].split()
-            joined = b" ".join(words)
-            offset = np.zeros(len(words) + 1, dtype=np.int64)
-            np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1, out=offset[1:])
-            digests = [hashlib.blake2b(joined[a:b], digest_size=16).digest()
-                       for a, b in zip(offset[at].tolist(), (offset[at + self.width] - 1).tolist())]
-            found.add(n, at, digests, far[at], self.ids[n])
+        far = _member(np.concatenate(hit), own)  # sorted: buckets come in order
+        at = np.flatnonzero(far | self._in_two_documents())
+        cuts = np.searchsorted(at, self.edges)
+        found, blake2b = Repeated(), hashlib.blake2b
+        for n in np.flatnonzero(np.diff(cuts)).tolist():
+            here = at[cuts[n]: cuts[n + 1]]
+            places = here - self.edges[n]
+            raw = self.raw[n]
+            starts, ends = _joined_spans(raw)
+            digests = [blake2b(raw[a:b], digest_size=16).digest()
+                       for a, b in zip(starts[places].tolist(), ends[places + (self.width - 1)].tolist())]
+            found.add(n, places, digests, far[here], self.ids[n])
         return found
 
+    def _in_two_documents(self) -> np.ndarray:
+        """Whether a window's hash comes in two documents of this chunk."""
+        out = np.zeros(len(self.hashes), dtype=bool)
+        ordered = np.sort(self.hashes)
+        at = np.flatnonzero(_member(distinct(ordered[1:][ordered[1:] == ordered[:-1]]), self.hashes))
+        if not len(at):
+            return out
+        h, doc = self.hashes[at], np.searchsorted(self.edges, at, side="right")
+        order = np.argsort(h, kind="stable")
+        h, doc = h[order], doc[order]  # documents rise within a hash
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        last = np.r_[first[1:], len(h)] - 1
+        out[at[order]] = np.repeat(doc[first] != doc[last], last - first + 1)
+        return out
+
 
 class Repeated:
     """Positions and digests of a chunk's candidate windows."""
@@ -129,18 +148,34 @@ class Repeated:
 
     def by_bucket(self, buckets: int) -> dict[int, list[bytes]]:
         """Digests to ask about, sorted, by bucket."""
+        digests = sorted(self.far)
+        at = np.frombuffer(b"".join(digests), dtype=_DIGEST)["a"] % np.uint64(buckets)
         out: dict[int, list[bytes]] = {}
-        for d in sorted(self.far):
-            out.setdefault(int.from_bytes(d[:8], "little") % buckets, []).append(d)
+        for bucket, d in zip(at.tolist(), digests):
+            out.setdefault(bucket, []).append(d)
         return out
 
 
+def _joined_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte offsets of words that are joined by one blank (at least one word)."""
+    blanks = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 32)
+    return np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(raw)]])
+
+
 def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are among the values; a table of one byte for several values first sorts out most of the others."""
+    out = np.zeros(len(x), dtype=bool)
     if not len(sorted_values):
-        return np.zeros(len(x), dtype=bool)
-    at = np.searchsorted(sorted_values, x)
+        return out
+    shift = np.uint64(64 - min(24, max(10, (8 * len(sorted_values)).bit_length())))
+    seen = np.zeros(1 << (64 - int(shift)), dtype=bool)
+    seen[(sorted_values * _SPREAD) >> shift] = True
+    maybe = np.flatnonzero(seen[(x * _SPREAD) >> shift])
+    values = x[maybe]
+    at = np.searchsorted(sorted_values, values)
     at[at == len(sorted_values)] = 0
-    return sorted_values[at] == x
+    out[maybe] = sorted_values[at] == values
+    return out
 
 
 def _masks(table: pa.Table, kind: int) -> dict[int, bytes]:
@@ -182,9 +217,6 @@ def group_digests(chunks: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarra
     return np.split(less, np.cumsum([len(i) for _, i in chunks])[:-1])
 
 
-_DIGEST = np.dtype([("a", "<u8"), ("b", "<u8")])
-
-
 def _part_rows(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], [], []), _PART.types)],
                                 schema=_PART)
@@ -247,20 +279,18 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, output: str = "text",
             smaller.update(d for d, bit in zip(ds, bits.tolist()) if bit)
         rows = []
         for n, (doc_id, raw) in enumerate(zip(c.ids, c.raw)):
-            words = raw.split()
-            kept, removed = words, 0
+            text, n_words, removed = raw, c.n_words[n], 0
             if n in found.of_doc:
                 at, digests = found.of_doc[n]
                 go = np.array([d in smaller or found.first[d] < doc_id for d in digests], dtype=bool)
-                step = np.zeros(len(words) + 1, dtype=np.int64)
+                step = np.zeros(n_words + 1, dtype=np.int64)
                 step[at[go]] += 1
                 step[at[go] + width] -= 1
                 gone = np.cumsum(step[:-1]) > 0
                 removed = int(gone.sum())
                 if removed:
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
-            text = b" ".join(kept)
-            rows.append((doc_id, len(words), removed, hashlib.sha256(text).hexdigest() if output == "sha256"
+                    text = b" ".join(compress(raw.split(b" "), (~gone).tolist()))
+            rows.append((doc_id, n_words, removed, hashlib.sha256(text).hexdigest() if output == "sha256"
                          else text.decode("utf-8", "surrogatepass")))
         return pa.Table.from_arrays([pa.array(col, t) for col, t in zip(zip(*rows), result.types)], schema=result)
 

@@ -21,6 +21,8 @@ _LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93)
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+QUICK_BYTES = 64
 STRETCH = 1 << 18  # bytes of text hashed at a time
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
@@ -80,6 +82,22 @@ def word_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix(out + (ends - starts).astype(np.uint64) * _WINDOW_BASE)
 
 
+def quick_word_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word, eight bytes at a time (other values than ``word_hashes``); words over
+    ``QUICK_BYTES`` go by ``word_hashes``."""
+    eights = np.ndarray(len(raw), dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    length = ends - starts
+    out = mix((eights[starts] & _LOW_BYTES[np.minimum(length, 8)]) + length.astype(np.uint64) * _WINDOW_BASE)
+    for done in range(8, QUICK_BYTES, 8):
+        at = np.flatnonzero(length > done)
+        if not len(at):
+            return out
+        out[at] = mix((eights[starts[at] + done] & _LOW_BYTES[np.minimum(length[at] - done, 8)]) + out[at] * _BASE)
+    at = np.flatnonzero(length > QUICK_BYTES)
+    out[at] = word_hashes(raw, starts[at], ends[at])
+    return out
+
+
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of every window of ``n`` consecutive words (none if there are fewer)."""
     if len(words) < n:

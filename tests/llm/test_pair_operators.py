@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from cardlake.llm import jaccard_tiles as JT
 from cardlake.llm import substring_dedup as SD
 from cardlake.llm.components import components
 from cardlake.llm.tables import table
+from cardlake.llm.words import quick_word_hashes
 
 from .conftest import ODD_TEXTS
 
@@ -71,6 +73,45 @@ def test_substring_dedup_equals_brute_force(spark):
     assert sorted(r[0] for r in digests) == sorted(hashlib.sha256(x[3].encode()).hexdigest() for x in brute_dedup(pairs))
 
 
+def test_quick_word_hashes_tell_words_apart():
+    r = random.Random(2)
+    words = {bytes(r.choice(b"ab\x00\xff") for _ in range(n)) for n in [*range(1, 140), 1000, 300_000] for _ in range(20)}
+    words |= {w + b"\x00" for w in words}
+    words = sorted(words)
+    seen = {}
+    for _ in range(2):  # at other places each time
+        r.shuffle(words)
+        raw = b" ".join(words)
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+        ends = starts + np.array([len(w) for w in words])
+        for w, h in zip(words, quick_word_hashes(raw, starts, ends).tolist()):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(words)
+
+
+def test_chunk_equals_one_document_at_a_time():
+    """Hashes of documents taken together are those of each alone, at every blank and length, over several stretches."""
+    r = random.Random(5)
+    texts = [None, "", " ", "one", "a b\tc\n\x0bd"] + family(3, 30) + [
+        r.choice(["", " ", "\n\n"]).join(r.choice(["é\u00a0x ", "w%d\t" % r.randrange(40), " \r\n", "z" * 40 + " "])
+                                        for _ in range(r.choice([0, 5, 12, 13, 14, 400, 30_000]))) for _ in range(60)]
+    ids = [None if i % 17 == 3 else i for i in range(len(texts))]
+    table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+    c = SD.Chunk(table, 13, 3)
+    seen = {}
+    for n, (doc_id, text) in enumerate(zip(ids, texts)):
+        words = WORD.findall(text or "")
+        assert c.raw[n].decode() == " ".join(words) and c.n_words[n] == len(words)
+        alone = SD.Chunk(table.slice(n, 1), 13, 3).hashes
+        assert len(alone) == (max(0, len(words) - 12) if doc_id is not None else 0)
+        assert c.hashes[c.edges[n]: c.edges[n + 1]].tolist() == alone.tolist()
+        for h in alone.tolist():
+            seen.setdefault(h, set()).add(n)
+    assert c._in_two_documents().tolist() == [len(seen[h]) > 1 for h in c.hashes.tolist()]
+    some = np.unique(c.hashes)[::7]
+    assert SD._member(some, c.hashes).tolist() == np.isin(c.hashes, some).tolist()
+
+
 def test_sketch_never_undercounts():
     rng = np.random.default_rng(3)
     parts = [np.unique(rng.integers(0, 1 << 32, 5000, dtype=np.uint32)) for _ in range(5)]
